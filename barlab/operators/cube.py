@@ -127,13 +127,16 @@ COHORT_STATS = ["quote_vol_per_day", "std_r", "up_share", "taker_ratio"]
 def group_medians(
     rollup: DataFrame, by: str, stats: list[str] | None = None, **split
 ) -> DataFrame:
-    """Exact median of each statistic per group, as columns ``median_<stat>``."""
+    """Exact median of each statistic per group, as columns ``median_<stat>``.
+
+    Groups are tiers or flags: a handful.
+    """
     stats = stats or COHORT_STATS
     long = rollup.select(
         by,
         F.inline(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("v")) for c in stats])),
     )
-    wide = median(long, "v", [by, "stat"], **split)
+    wide = median(long, "v", [by, "stat"], few_groups=True, **split)
     return wide.groupBy(by).agg(
         *[F.max(F.when(F.col("stat") == c, F.col("median"))).alias(f"median_{c}") for c in stats]
     )

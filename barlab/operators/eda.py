@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,34 +52,33 @@ def symbol_summary(bars: DataFrame, k: int = 5) -> DataFrame:
 
 
 def sample_skewness(n: Column, g1: Column) -> Column:
-    """Bias-corrected skewness from the population skewness."""
+    """Bias-corrected skewness from the population skewness (0 for a constant)."""
     n = n.cast("double")
-    return F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when(n > 2, F.coalesce(g1, F.lit(0.0)) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def sample_kurtosis(n: Column, g2: Column) -> Column:
-    """Bias-corrected excess kurtosis from the population excess kurtosis."""
+    """Bias-corrected excess kurtosis from the population excess kurtosis (0 for a constant)."""
     n = n.cast("double")
-    return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+    corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
+    return F.when(n > 3, F.coalesce(corrected, F.lit(0.0)))
 
 
 def feature_stats(table: DataFrame, columns: list[str], **split) -> DataFrame:
-    """Mean, median, population deviation, corrected skewness and kurtosis per feature."""
-    parts = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        parts += [
-            F.count(x).alias(f"n__{c}"),
-            F.avg(x).alias(f"mean__{c}"),
-            F.stddev_pop(x).alias(f"std__{c}"),
-            F.skewness(x).alias(f"g1__{c}"),
-            F.kurtosis(x).alias(f"g2__{c}"),
-        ]
-    moments = _rows_from_columns(
-        table.agg(*parts), columns, ["n", "mean", "std", "g1", "g2"]
+    """Mean, median, population deviation, corrected skewness and kurtosis per feature.
+
+    Moments are taken over (feature, value) rows, which combine before they shuffle.
+    """
+    long = to_long(table, columns)
+    moments = long.groupBy("feature").agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_pop("value").alias("std"),
+        F.skewness("value").alias("g1"),
+        F.kurtosis("value").alias("g2"),
     )
-    medians = exact_quantiles(to_long(table, columns), "value", [0.5], ["feature"], **split)
-    return moments.join(medians, "feature", "left").select(
+    medians = exact_quantiles(long, "value", [0.5], ["feature"], few_groups=True, **split)
+    return moments.join(F.broadcast(medians), "feature", "left").select(
         "feature",
         "n",
         "mean",
@@ -90,54 +92,48 @@ def feature_stats(table: DataFrame, columns: list[str], **split) -> DataFrame:
 def iqr_outliers(table: DataFrame, columns: list[str], width: float = 1.5, **split) -> DataFrame:
     """Quartiles and the count and share of values strictly beyond the fences."""
     long = to_long(table, columns)
-    quartiles = exact_quantiles(long, "value", [0.25, 0.75], ["feature"], **split).select(
-        "feature", F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q75")
-    )
-    # One row holding every feature's fences, looked up per row: the big side never shuffles.
-    fences = quartiles.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("q25", "q75")))).alias("f")
+    quartiles = exact_quantiles(
+        long, "value", [0.25, 0.75], ["feature"], few_groups=True, **split
+    ).select("feature", F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q75"))
+    iqr = F.col("q75") - F.col("q25")
+    outside = (F.col("value") < F.col("q25") - width * iqr) | (
+        F.col("value") > F.col("q75") + width * iqr
     )
-    wide = table.select(*columns).withColumn("_fences", fences.scalar())
-    counts = []
-    for c in columns:
-        fence = F.element_at("_fences", F.lit(c))
-        iqr = fence["q75"] - fence["q25"]
-        x = F.col(c).cast("double")
-        outside = (x < fence["q25"] - width * iqr) | (x > fence["q75"] + width * iqr)
-        counts += [
-            F.count(x).alias(f"n__{c}"),
-            F.sum(F.when(outside, 1).otherwise(0)).alias(f"outliers__{c}"),
-        ]
-    counted = _rows_from_columns(wide.agg(*counts), columns, ["n", "outliers"])
-    return counted.join(quartiles, "feature").select(
-        "feature",
-        "q25",
-        "q75",
-        (F.col("q75") - F.col("q25")).alias("iqr"),
-        "outliers",
-        F.try_divide(F.col("outliers") * 100.0, F.col("n")).alias("outlier_pct"),
+    # One row of fences per feature, so the values stay where they are.
+    return (
+        long.join(F.broadcast(quartiles), "feature")
+        .groupBy("feature", "q25", "q75", iqr.alias("iqr"))
+        .agg(
+            F.sum(outside.cast("long")).alias("outliers"),
+            (F.sum(outside.cast("long")) * 100.0 / F.count(F.lit(1))).alias("outlier_pct"),
+        )
     )
 
 
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation, NULL where either side is constant (``corr`` would raise)."""
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def feature_correlation(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson matrix as rows (feature_a, feature_b, correlation); one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    totals = table.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [(a, b, F.col(f"r{i}")) for i, (a, b) in enumerate(pairs)]
-    cells += [(b, a, r) for a, b, r in cells] + [(c, c, F.lit(1.0)) for c in columns]
-    return totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(a).alias("feature_a"),
-                        F.lit(b).alias("feature_b"),
-                        r.alias("correlation"),
-                    )
-                    for a, b, r in cells
-                ]
-            )
-        )
+    """Pearson matrix of complete rows as (feature_a, feature_b, correlation).
+
+    The pairwise products are summed as one matrix per partition, which stays in compiled
+    linear algebra; a hundred-odd pair aggregates would overflow generated code.
+    """
+    assembler = VectorAssembler(inputCols=columns, outputCol="_x", handleInvalid="skip")
+    vectors = assembler.transform(table.select(*columns)).select("_x")
+    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
+    # One row per pair of columns, whatever the size of the table.
+    cells = [
+        (a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return table.sparkSession.createDataFrame(
+        cells, "feature_a string, feature_b string, correlation double"
     )
 
 
@@ -145,7 +141,9 @@ def target_correlation(
     table: DataFrame, columns: list[str], target: str = "future_return"
 ) -> DataFrame:
     """Correlation of each feature with the future return, highest first."""
-    totals = table.agg(*[F.corr(c, target).alias(f"correlation__{c}") for c in columns])
+    totals = table.agg(
+        *[_correlation(F.col(c), F.col(target)).alias(f"correlation__{c}") for c in columns]
+    )
     return _rows_from_columns(totals, columns, ["correlation"]).orderBy(
         F.desc("correlation"), "feature"
     )
@@ -163,13 +161,9 @@ def feature_histogram(table: DataFrame, columns: list[str], bins: int = 50) -> D
     for c in columns:
         ends += [F.min(c).cast("double").alias(f"lo__{c}"), F.max(c).cast("double").alias(f"hi__{c}")]
     ranges = _rows_from_columns(table.agg(*ends), columns, ["lo", "hi"])
-    lookup = ranges.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("lo", "hi")))).alias("r")
-    )
-    long = to_long(table, columns).withColumn("_ranges", lookup.scalar())
-    end = F.element_at("_ranges", F.col("feature"))
+    long = to_long(table, columns).join(F.broadcast(ranges), "feature")
     return (
-        long.select("feature", _bin(F.col("value"), end["lo"], end["hi"], bins).alias("bin"))
+        long.select("feature", _bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
         .groupBy("feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -195,12 +189,15 @@ FIVE_NUMBERS = {"minimum": 0.0, "q25": 0.25, "median": 0.5, "q75": 0.75, "maximu
 
 
 def box_stats(
-    table: DataFrame, columns: list[str], by: list[str] | None = None, **split
+    table: DataFrame, columns: list[str], by: list[str] | None = None, **how
 ) -> DataFrame:
-    """Five-number summary per feature, optionally within groups."""
+    """Five-number summary per feature, optionally within groups.
+
+    Pass ``few_groups=True`` where the groups are classes or the like.
+    """
     by = list(by or [])
     q = exact_quantiles(
-        to_long(table, columns, by), "value", list(FIVE_NUMBERS.values()), [*by, "feature"], **split
+        to_long(table, columns, by), "value", list(FIVE_NUMBERS.values()), [*by, "feature"], **how
     )
     return q.select(
         *by, "feature", *[F.col("quantiles")[i].alias(name) for i, name in enumerate(FIVE_NUMBERS)]

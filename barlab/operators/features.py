@@ -23,19 +23,24 @@ _EMA_SPANS = [9, 12, 15, 26, 50]
 INDICATOR_LOOKBACK = ema.memory_rows(50) + ema.memory_rows(9)
 
 
-def with_indicators(s: Series) -> Series:
-    """The thirteen indicators, all windows on one sort."""
-    s = ema.blocked_for(s, _EMA_SPANS)
+def _first_columns(s: Series) -> dict[str, Column]:
+    """Everything that needs only input columns, so that one window pass yields it."""
+    return {
+        "sma_15": rolling.rolling_mean(s, "close", 15),
+        "sma_50": rolling.rolling_mean(s, "close", 50),
+        "log_return": rolling.log_return(s),
+        **rolling.change_columns(s),
+        **rolling.band_columns(s),
+    }
+
+
+def _after_first(s: Series) -> Series:
+    """The rest of the indicators: statistics of returns and changes, then the averages."""
+    s = s.with_columns(rolling.gain_columns())
     s = s.with_columns(
-        {
-            "sma_15": rolling.rolling_mean(s, "close", 15),
-            "sma_50": rolling.rolling_mean(s, "close", 50),
-            "log_return": rolling.log_return(s),
-        }
+        {"rsi_14": rolling.rsi_column(s, 14), "volatility_30": rolling.rolling_std(s, "log_return", 30)}
     )
-    s = rolling.with_bollinger(s)
-    s = rolling.with_rsi(s)
-    s = rolling.with_volatility(s)
+    s = s.with_columns(rolling.bollinger_columns()).drop(*rolling.WORK_COLUMNS)
     s = ema.with_emas(
         s,
         {
@@ -48,6 +53,12 @@ def with_indicators(s: Series) -> Series:
     return ema.with_macd(s).drop("_ema_12", "_ema_26")
 
 
+def with_indicators(s: Series) -> Series:
+    """The thirteen indicators, all windows on one sort."""
+    s = ema.blocked_for(s, _EMA_SPANS)
+    return _after_first(s.with_columns(_first_columns(s)))
+
+
 def stationary_columns() -> dict[str, Column]:
     """Price-scale indicators relative to the close, so that symbols compare."""
     close = F.col("close")
@@ -68,26 +79,25 @@ def hour_columns() -> dict[str, Column]:
     return {"hour_sin": F.sin(angle), "hour_cos": F.cos(angle)}
 
 
-def with_flow(s: Series) -> Series:
+def _flow_columns(s: Series) -> dict[str, Column]:
     ratio = F.col("taker_buy_base_asset_volume") / (F.col("volume") + EPSILON)
-    return s.with_columns(
-        {
-            "taker_buy_ratio": ratio,
-            "volume_z30": rolling.rolling_zscore(s, "volume", 30),
-            "trades_z30": rolling.rolling_zscore(s, "number_of_trades", 30),
-            **hour_columns(),
-        }
-    )
+    return {
+        "taker_buy_ratio": ratio,
+        "volume_z30": rolling.rolling_zscore(s, "volume", 30),
+        "trades_z30": rolling.rolling_zscore(s, "number_of_trades", 30),
+        **hour_columns(),
+    }
 
 
-def with_labels(
-    s: Series, horizon: int = HORIZON, threshold: float = RETURN_THRESHOLD
-) -> Series:
-    """Close ``horizon`` rows ahead, its return, and whether the return beats the threshold.
+def with_flow(s: Series) -> Series:
+    return s.with_columns(_flow_columns(s))
 
-    Rows with no such close keep a NULL label.
-    """
-    s = s.with_columns({"future_close": F.lead("close", horizon).over(s.ordered())})
+
+def _future_close(s: Series, horizon: int) -> dict[str, Column]:
+    return {"future_close": F.lead("close", horizon).over(s.ordered())}
+
+
+def _label_columns(s: Series, threshold: float) -> Series:
     s = s.with_columns(
         {"future_return": F.try_divide(F.col("future_close"), F.col("close")) - 1.0}
     )
@@ -97,6 +107,16 @@ def with_labels(
     return s.with_columns({"target": up})
 
 
+def with_labels(
+    s: Series, horizon: int = HORIZON, threshold: float = RETURN_THRESHOLD
+) -> Series:
+    """Close ``horizon`` rows ahead, its return, and whether the return beats the threshold.
+
+    Rows with no such close keep a NULL label.
+    """
+    return _label_columns(s.with_columns(_future_close(s, horizon)), threshold)
+
+
 # --- operators on bar tables -------------------------------------------------------------
 
 
@@ -126,8 +146,12 @@ def hour_cycle(bars: DataFrame) -> DataFrame:
     return bars.withColumns(hour_columns())
 
 
-def _with_features(s: Series) -> Series:
-    s = with_flow(with_indicators(s))
+def _with_features(s: Series, ahead: int | None = None) -> Series:
+    s = ema.blocked_for(s, _EMA_SPANS)
+    first = {**_first_columns(s), **_flow_columns(s)}
+    if ahead is not None:
+        first |= _future_close(s, ahead)
+    s = _after_first(s.with_columns(first))
     return s.with_columns(stationary_columns())
 
 
@@ -165,7 +189,7 @@ def labelled_features(
     columns = columns or FEATURE_COLUMNS
     table = over_series(
         bars,
-        lambda s: with_labels(_with_features(s), horizon, threshold),
+        lambda s: _label_columns(_with_features(s, horizon), threshold),
         lookback=INDICATOR_LOOKBACK,
         lookahead=horizon,
         **layout,

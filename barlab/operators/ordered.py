@@ -1,33 +1,47 @@
-"""Running totals and exact quantiles over columns of any size.
-
-A running total in order of a value is a window with nothing to partition it by, which would
-be one task. Here the values are cut at approximate quantiles into ranges of about equal
-size; totals run inside each range, and the few range totals run across ranges. The cut only
-balances work: the result is exact wherever the cut points fall.
-"""
+"""Running totals and exact quantiles over columns of any size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.functions.checks import fits_one_task
+from barlab.functions.checks import ONE_TASK_BYTES, fits_one_task
 
-# Ranges per running total; a square, since the range is found in two steps of its root.
-RANGES = 1024
-_STEP = 32
-_SKETCH_ACCURACY = 20_000
+# Ranges per running total: a range is found in three steps of eight.
+_FAN = 8
+RANGES = _FAN**3
+# The sketch behind the ranges and the brackets is off by at most 1 / accuracy of the ranks.
+SKETCH_ACCURACY = 10_000
+# Half-width of a quantile's bracket, several times what the sketch may be off.
+_MARGIN = 5.0 / SKETCH_ACCURACY
+# Up to this estimate, ``percentile`` may hold a group's distinct values in memory.
+_IN_MEMORY_BYTES = 4 * 1024 * 1024
 
 
-def _range_of(edges: str, value: Column) -> Column:
-    """How many edges are at or below the value: first among every 32nd, then among the next 31."""
-    every = F.transform(
-        F.sequence(F.lit(_STEP), F.lit(RANGES - _STEP), F.lit(_STEP)),
-        lambda i: F.element_at(edges, i),
-    )
-    coarse = F.size(F.filter(every, lambda e: e <= value)) * _STEP
-    near = F.slice(edges, coarse + 1, _STEP - 1)
-    return coarse + F.size(F.filter(near, lambda e: e <= value))
+def _edges(order: str) -> tuple[Column, Column]:
+    """The sketch of the cut points, and the same as all of them, every 8th and every 64th."""
+    cuts = F.percentile_approx(order, [i / RANGES for i in range(1, RANGES)], SKETCH_ACCURACY)
+
+    def every(step: int) -> Column:
+        places = F.sequence(F.lit(step), F.lit(RANGES - step), F.lit(step))
+        return F.transform(places, lambda i: F.element_at(F.col("_cuts"), i))
+
+    return cuts.alias("_cuts"), F.struct(
+        F.col("_cuts").alias("fine"), every(_FAN).alias("mid"), every(_FAN**2).alias("coarse")
+    ).alias("_e")
+
+
+def _range_of(edges: Column, value: Column) -> Column:
+    """How many cut points are at or below the value."""
+
+    def below(points: Column) -> Column:
+        return F.size(F.filter(points, lambda e: e <= value))
+
+    a = below(edges["coarse"]) * _FAN
+    b = (a + below(F.slice(edges["mid"], a + 1, _FAN - 1))) * _FAN
+    # Never NULL: else the join on it would push a not-NULL test, and with it this whole
+    # expression, below the grouping, and the grouped rows could not be shared.
+    return F.coalesce(b + below(F.slice(edges["fine"], b + 1, _FAN - 1)), F.lit(0))
 
 
 def running_totals(
@@ -41,7 +55,12 @@ def running_totals(
     """Add ``cum_<v>`` (running, current row included) and ``total_<v>`` for each value.
 
     ``df`` must hold one row per (by, order), with ``order`` numeric and not NULL: group first.
-    ``split=None`` runs a plain window while the plan's size shows that one task can hold it.
+
+    A running total is a window with nothing to divide a group by, which would be one task. A
+    large table is cut at approximate quantiles into ranges of about equal size; totals run
+    inside each range and the few range totals run across ranges. The cut only balances work:
+    the result is exact wherever the cut points fall. ``split=None`` runs the plain window
+    while the plan's size shows that one task can hold it.
     """
     by = list(by or [])
     if split is None:
@@ -57,13 +76,10 @@ def running_totals(
 
     # The sums beside the sketch keep this plan's columns the same as the main branch's, so
     # that Spark reuses the shuffle that produced df.
-    cuts = [i / RANGES for i in range(1, RANGES)]
-    sketch = df.agg(
-        F.percentile_approx(order, cuts, _SKETCH_ACCURACY).alias("e"),
-        *[F.sum(v).alias(v) for v in values],
-    ).select("e")
+    cuts, edges = _edges(order)
+    sketch = df.agg(cuts, *[F.sum(v).alias(v) for v in values]).select(edges)
     ranged = df.withColumn("_edges", sketch.scalar())
-    ranged = ranged.withColumn("_range", _range_of("_edges", F.col(order))).drop("_edges")
+    ranged = ranged.withColumn("_range", _range_of(F.col("_edges"), F.col(order))).drop("_edges")
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,8 +92,9 @@ def running_totals(
             prior.alias(f"_prior_{v}"),
             F.sum(f"_s_{v}").over(everything).alias(f"total_{v}"),
         ]
-    starts = sums.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_r"),
-                         *columns)
+    starts = sums.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_r"), *columns
+    )
     inside = Window.partitionBy(*by, "_range").orderBy(direction)
     local = ranged.withColumns({f"_local_{v}": F.sum(v).over(inside) for v in values})
     match = F.col("_range") == F.col("_r")
@@ -96,45 +113,99 @@ def exact_quantiles(
     column: str,
     probabilities: list[float],
     by: list[str] | None = None,
+    few_groups: bool = False,
     split: bool | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group, ``quantiles`` an array of doubles.
 
     A small table goes through ``percentile``, which keeps every distinct value of a group in
-    one task's memory; a large one counts equal values and locates the two order statistics
-    around each probability by running counts.
+    one task. A large one is read twice and hardly shuffled: a sketch brackets each quantile
+    between two values; then the rows below each bracket are counted and only the rows inside
+    it (about a thousandth) are put in order. A bracket that missed its quantile raises; it
+    cannot give a wrong value.
+
+    ``few_groups`` says the groups are fixed and few (features, classes), so that their
+    brackets may be broadcast.
     """
     by = list(by or [])
     if split is None:
-        split = not fits_one_task(df)
+        split = not fits_one_task(df, _IN_MEMORY_BYTES)
     present = df.filter(F.col(column).isNotNull()).select(
         *by, F.col(column).cast("double").alias("_v")
     )
     if not split:
         exact = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probabilities]))
         return present.groupBy(*by).agg(exact.alias("quantiles"))
-    counts = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, "_v", ["_n"], by, split=True)
-    first = F.col("cum__n") - F.col("_n")
-    hits = []
-    for i, p in enumerate(probabilities):
-        place = F.lit(float(p)) * (F.col("total__n") - 1)
-        low = F.floor(place)
-        high = F.ceil(place)
-        inside = lambda k: (k >= first) & (k < F.col("cum__n"))
-        # Weight of this value in the interpolation of probability i.
-        share = F.when(inside(low), F.lit(1.0) - (place - low)).otherwise(0.0) + F.when(
-            inside(high) , place - low
-        ).otherwise(0.0)
-        hits.append(F.when(inside(low) | inside(high), F.col("_v") * share).alias(f"_q{i}"))
-    parts = ranked.select(*by, *hits)
-    return (
-        parts.filter(F.coalesce(*[f"_q{i}" for i in range(len(hits))]).isNotNull())
-        .groupBy(*by)
-        .agg(F.array(*[F.sum(f"_q{i}") for i in range(len(hits))]).alias("quantiles"))
+
+    lows = [max(p - _MARGIN, 0.0) for p in probabilities]
+    highs = [min(p + _MARGIN, 1.0) for p in probabilities]
+    k = len(probabilities)
+    ends = present.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", [*lows, *highs], SKETCH_ACCURACY).alias("_s"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+    )
+    limits = F.array(
+        *[
+            F.struct(
+                (F.col("_min") if lows[i] == 0.0 else F.col("_s")[i]).alias("lo"),
+                (F.col("_max") if highs[i] == 1.0 else F.col("_s")[k + i]).alias("hi"),
+            )
+            for i in range(k)
+        ]
+    )
+    bracket = F.struct(F.col("_n").alias("n"), limits.alias("limits")).alias("_b")
+    if by:
+        brackets = ends.select(*[F.col(c).alias(f"_by_{c}") for c in by], bracket)
+        match = F.lit(True)
+        for c in by:
+            match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        placed = present.join(F.broadcast(brackets) if few_groups else brackets, match)
+    else:
+        placed = present.withColumn("_b", ends.select(bracket).scalar())
+
+    # Per quantile: a row below the bracket counts under a NULL value, one inside under its own.
+    x, limit = F.col("_v"), lambda i: F.col("_b")["limits"][i]
+    marks = [
+        F.when(x < limit(i)["lo"], F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
+        .when(x <= limit(i)["hi"], F.struct(F.lit(i).alias("i"), x.alias("v")))
+        for i in range(k)
+    ]
+    marked = placed.select(
+        *by, F.col("_b")["n"].alias("_n"), F.explode(F.array_compact(F.array(*marks))).alias("_m")
+    )
+    counts = marked.groupBy(*by, "_n", F.col("_m")["i"].alias("_i"), F.col("_m")["v"].alias("_x"))
+    counts = counts.agg(F.count(F.lit(1)).alias("_c"))
+    # Only the brackets' rows remain, so one task holds a table this much larger.
+    whole_bracket = fits_one_task(df, int(ONE_TASK_BYTES / (4 * _MARGIN)))
+    ranked = running_totals(counts, "_x", ["_c"], [*by, "_n", "_i"], split=not whole_bracket)
+
+    # Ranks of the two order statistics around each quantile, and the weight of the upper one.
+    p = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1)
+    place = p * (F.col("_n") - 1)
+    low, high = F.floor(place), F.ceil(place)
+    last = F.col("cum__c")
+    first = last - F.col("_c")
+    found = (
+        ranked.select(
+            *by,
+            "_i",
+            (place - low).alias("_w"),
+            F.when((low >= first) & (low < last), F.col("_x")).alias("_lo"),
+            F.when((high >= first) & (high < last), F.col("_x")).alias("_hi"),
+        )
+        .groupBy(*by, "_i")
+        .agg(F.max("_w").alias("_w"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     )
+    value = (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias("q")
+    packed = found.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_i", value))).alias("_q"))
+    whole = (F.size("_q") == k) & ~F.exists("_q", lambda q: q["q"].isNull())
+    missed = F.raise_error(F.lit("a quantile fell outside its bracket"))
+    values = F.transform("_q", lambda q: q["q"])
+    return packed.select(*by, F.when(whole, values).otherwise(missed).alias("quantiles"))
 
 
-def median(df: DataFrame, column: str, by: list[str] | None = None, **split) -> DataFrame:
-    q = exact_quantiles(df, column, [0.5], by, **split)
+def median(df: DataFrame, column: str, by: list[str] | None = None, **how) -> DataFrame:
+    q = exact_quantiles(df, column, [0.5], by, **how)
     return q.withColumn("median", F.col("quantiles")[0]).drop("quantiles")

@@ -42,21 +42,31 @@ def difference(s: Series, x: Column | str = "close") -> Column:
     return x - F.lag(x).over(s.ordered())
 
 
-def with_rsi(s: Series, n: int = 14, out: str = "rsi_14") -> Series:
-    """Relative strength index from simple means of gains and losses.
-
-    The first bar of a symbol has no change and counts as gain 0 and loss 0.
-    """
-    s = s.with_columns({"_change": difference(s)})
-    s = s.with_columns(
-        {
-            "_gain": F.when(F.col("_change") > 0, F.col("_change")).otherwise(0.0),
-            "_loss": F.when(F.col("_change") < 0, -F.col("_change")).otherwise(0.0),
-        }
-    )
+WORK_COLUMNS = ["_change", "_gain", "_loss", "_bb_std"]
+
+
+def change_columns(s: Series) -> dict[str, Column]:
+    return {"_change": difference(s)}
+
+
+def gain_columns() -> dict[str, Column]:
+    """Rises and falls; the first bar of a symbol has no change and counts as 0 in both."""
+    change = F.col("_change")
+    return {
+        "_gain": F.when(change > 0, change).otherwise(0.0),
+        "_loss": F.when(change < 0, -change).otherwise(0.0),
+    }
+
+
+def rsi_column(s: Series, n: int) -> Column:
+    """Relative strength index from simple means of gains and losses."""
     strength = rolling_mean(s, "_gain", n) / (rolling_mean(s, "_loss", n) + EPSILON)
-    s = s.with_columns({out: 100.0 - 100.0 / (1.0 + strength)})
-    return s.drop("_change", "_gain", "_loss")
+    return 100.0 - 100.0 / (1.0 + strength)
+
+
+def with_rsi(s: Series, n: int = 14, out: str = "rsi_14") -> Series:
+    s = s.with_columns(change_columns(s)).with_columns(gain_columns())
+    return s.with_columns({out: rsi_column(s, n)}).drop("_change", "_gain", "_loss")
 
 
 def with_volatility(s: Series, n: int = 30, out: str = "volatility_30") -> Series:
@@ -64,16 +74,20 @@ def with_volatility(s: Series, n: int = 30, out: str = "volatility_30") -> Serie
     return s.with_columns({out: rolling_std(s, "log_return", n)})
 
 
+def band_columns(s: Series, n: int = 20) -> dict[str, Column]:
+    return {"bb_middle": rolling_mean(s, "close", n), "_bb_std": rolling_std(s, "close", n)}
+
+
+def bollinger_columns(width: float = 2.0) -> dict[str, Column]:
+    return {
+        "bb_upper": F.col("bb_middle") + width * F.col("_bb_std"),
+        "bb_lower": F.col("bb_middle") - width * F.col("_bb_std"),
+    }
+
+
 def with_bollinger(s: Series, n: int = 20, width: float = 2.0) -> Series:
-    middle, spread = rolling_mean(s, "close", n), rolling_std(s, "close", n)
-    s = s.with_columns({"bb_middle": middle, "_bb_std": spread})
-    s = s.with_columns(
-        {
-            "bb_upper": F.col("bb_middle") + width * F.col("_bb_std"),
-            "bb_lower": F.col("bb_middle") - width * F.col("_bb_std"),
-        }
-    )
-    return s.drop("_bb_std")
+    s = s.with_columns(band_columns(s, n))
+    return s.with_columns(bollinger_columns(width)).drop("_bb_std")
 
 
 # --- operators on bar tables -------------------------------------------------------------

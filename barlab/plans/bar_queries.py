@@ -14,18 +14,20 @@ from barlab.schema import DAY_MS
 from barlab.session import scratch_dir
 from barlab.sources import raw, sinks, tables
 
-BAR_DIGITS = rounded(
-    ["open", "high", "low", "close", "volume", "quote_asset_volume",
-     "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume"], 5)
+# Prices leave as computed; sums, whose order differs between engines, leave rounded.
+PRICES = ["open", "high", "low", "close"]
+SUMS = rounded(
+    ["volume", "quote_asset_volume", "taker_buy_base_asset_volume",
+     "taker_buy_quote_asset_volume"], 5)
 BAR_SQL = (
     f"symbol, {q.OPEN_MS}, epoch_ms(close_time) AS close_ms, "
-    f"{q.big('number_of_trades')}, {q.rs(list(BAR_DIGITS), 5)}"
+    f"{q.big('number_of_trades')}, {', '.join(PRICES)}, {q.rs(list(SUMS), 5)}"
 )
 
 
 def _emit_bars(bars: DataFrame) -> DataFrame:
     bars = bars.withColumn("close_ms", F.unix_millis(F.col("close_time").cast("timestamp")))
-    return emit(bars, "symbol", "open_time", "close_ms", "number_of_trades", **BAR_DIGITS)
+    return emit(bars, "symbol", "open_time", "close_ms", "number_of_trades", *PRICES, **SUMS)
 
 
 # --- sources and sinks --------------------------------------------------------------------
@@ -146,18 +148,16 @@ def normalize_ts(spark, d):
     )
 
 
-RAW_DIGITS = rounded(
-    ["open", "high", "low", "close", "volume", "quote_asset_volume",
-     "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume"], 6)
+RAW_VALUES = [*PRICES, *SUMS]
 RAW_SQL = (
     f"symbol, open_ms, close_us // 1000 AS close_ms, {q.big('number_of_trades')}, "
-    f"{q.rs(list(RAW_DIGITS), 6)}"
+    f"{', '.join(RAW_VALUES)}"
 )
 
 
 def _emit_raw(bars: DataFrame) -> DataFrame:
     bars = bars.withColumn("close_ms", F.unix_millis("close_time"))
-    return emit(bars, "symbol", "open_time", "close_ms", "number_of_trades", **RAW_DIGITS)
+    return emit(bars, "symbol", "open_time", "close_ms", "number_of_trades", *RAW_VALUES)
 
 
 @query("canonical_bars", f"WITH {q.LINE_RAW} SELECT {RAW_SQL} FROM raw_bars")

@@ -156,7 +156,7 @@ _FIVE_DIGITS = rounded(list(eda.FIVE_NUMBERS), 5)
     f"{_FEAT}, b AS ({_each(FEATURE_COLUMNS, _FIVE, 'f')}) SELECT feature, {_FIVE_OUT} FROM b",
 )
 def box_stats(spark, d):
-    out = eda.box_stats(_features(spark, d), FEATURE_COLUMNS)
+    out = eda.box_stats(_features(spark, d), FEATURE_COLUMNS, few_groups=True)
     return emit(out, "feature", **_FIVE_DIGITS)
 
 
@@ -166,7 +166,7 @@ def box_stats(spark, d):
     f"SELECT feature, {q.big('target')}, {_FIVE_OUT} FROM b",
 )
 def box_stats_by_target(spark, d):
-    out = eda.box_stats(fx.labelled(spark, d), _BOX_FEATURES, ["target"])
+    out = eda.box_stats(fx.labelled(spark, d), _BOX_FEATURES, ["target"], few_groups=True)
     return emit(out, "feature", "target", **_FIVE_DIGITS)
 
 

@@ -12,7 +12,7 @@ from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import FEATURE_COLUMNS
-from barlab.session import scratch_dir
+from barlab.session import materialize, scratch_dir
 from barlab.sources import sinks
 
 _PARTS = (
@@ -25,7 +25,8 @@ _SEQ_FEATURES = ["rsi_14", "log_return", "taker_buy_ratio", "bb_position"]
 def _split_table(spark, d):
     table = fx.labelled(spark, d)
     keep = ["symbol", "open_time", "target", "future_return", *FEATURE_COLUMNS]
-    return splits.chrono_split_by_fraction(table.select(*keep))
+    split = splits.chrono_split_by_fraction(table.select(*keep))
+    return materialize(split, "labelled", ["split"])
 
 
 def _parts(spark, d):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.functions.timestamps import to_ms
+from barlab.plans.sql import nudge
 from barlab.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +46,8 @@ def emit(df: DataFrame, *columns: str, **digits: int) -> DataFrame:
             out.append(F.col(c).cast("long").alias(c))
         else:
             out.append(F.col(c))
-    out += [F.round(F.col(c).cast("double"), n).alias(c) for c, n in digits.items()]
+    for c, n in digits.items():
+        out.append(F.round(F.col(c).cast("double") + nudge(n), n).alias(c))
     return df.select(*out)
 
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 from barlab.schema import FEATURE_COLUMNS
 
 
+def nudge(digits: int) -> float:
+    """A thousandth of the last digit: moves exact ties, which engines break differently."""
+    return 10.0 ** -(digits + 3)
+
+
 def r(expr: str, digits: int, name: str | None = None) -> str:
-    """Round, with negative zero folded into zero."""
-    rounded = f"round({expr}, {digits})"
+    """Round off ties, with negative zero folded into zero."""
+    rounded = f"round(({expr}) + {nudge(digits)!r}::DOUBLE, {digits})"
     return f"(CASE WHEN {rounded} = 0 THEN 0::DOUBLE ELSE {rounded} END) AS {name or expr}"
 
 
@@ -56,17 +61,19 @@ LINE_BARS = f"""bars AS (
       AS taker_buy_quote_asset_volume
   FROM lineitem GROUP BY ALL)"""
 
-# Order lines read as uncleaned bars: mixed epochs, several rows per time, NULLs.
+# Order lines read as uncleaned bars: mixed epochs, several rows per time, NULLs. Twenty years
+# on, because an epoch in microseconds is told from milliseconds only after 2001.
 LINE_RAW = """raw AS (
   SELECT 'S' || l_suppkey || 'USDT' AS symbol,
-    CASE WHEN l_linenumber % 2 = 0 THEN epoch_us(l_shipdate) ELSE epoch_ms(l_shipdate) END AS c0,
+    CASE WHEN l_linenumber % 2 = 0 THEN epoch_us(l_shipdate + INTERVAL 7305 DAY)
+      ELSE epoch_ms(l_shipdate + INTERVAL 7305 DAY) END AS c0,
     l_extendedprice / l_quantity AS c1,
     l_extendedprice / l_quantity * 1.01::DOUBLE AS c2,
     CASE WHEN l_discount > 0 THEN l_extendedprice / l_quantity * 0.99::DOUBLE END AS c3,
     l_extendedprice / l_quantity * (1 - l_discount) AS c4,
     CASE WHEN l_tax > 0 THEN l_quantity END AS c5,
-    CASE WHEN l_linenumber % 2 = 0 THEN epoch_us(l_shipdate) + 86399999999
-      ELSE epoch_ms(l_shipdate) + 86399999 END AS c6,
+    CASE WHEN l_linenumber % 2 = 0 THEN epoch_us(l_shipdate + INTERVAL 7305 DAY) + 86399999999
+      ELSE epoch_ms(l_shipdate + INTERVAL 7305 DAY) + 86399999 END AS c6,
     l_extendedprice AS c7, l_linenumber AS c8,
     l_quantity * l_discount AS c9, l_extendedprice * l_discount AS c10
   FROM lineitem),

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,3 +54,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="barlab-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a table that several jobs will read, and read it back.
+
+    Ends the lineage at files every executor can reach, so losing one recomputes nothing.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
