@@ -46,11 +46,11 @@ _SPANS = [9, 12, 15, 26, 50]
     "ema",
     f"WITH {q.LINE_BARS}, t AS (SELECT *, "
     + ", ".join(f"{q.ema('close', n)} AS ema_{n}" for n in _SPANS)
-    + f" FROM bars) SELECT {KEY}, {q.rs([f'ema_{n}' for n in _SPANS], 6)} FROM t",
+    + f" FROM bars) SELECT {KEY}, {q.rs([f'ema_{n}' for n in _SPANS], 4)} FROM t",
 )
 def ema_query(spark, d):
     out = ema.ema(fx.daily(spark, d), tuple(_SPANS), **DAYS)
-    return emit(out, "symbol", "open_time", **rounded([f"ema_{n}" for n in _SPANS], 6))
+    return emit(out, "symbol", "open_time", **rounded([f"ema_{n}" for n in _SPANS], 4))
 
 
 @query(
@@ -270,7 +270,7 @@ def sequence_windows(spark, d):
     0::BIGINT AS null_mismatches, TRUE AS within_tolerance FROM n""",
 )
 def feature_parity(spark, d):
-    """The two window layouts agree: a task per symbol against segments of 300 rows."""
+    """The two window layouts agree: a task per symbol against segments of 2000 rows."""
     bars = fx.hourly(spark, d)
     columns = ["rsi_14", "ema_50", "volume_z30"]
     whole = features.feature_matrix(bars, segment_rows=None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -40,6 +41,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="barlab-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -51,8 +57,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="barlab-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
