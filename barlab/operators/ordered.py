@@ -14,6 +14,9 @@ RANGES = _FAN**3
 SKETCH_ACCURACY = 10_000
 # Half-width of a quantile's bracket, several times what the sketch may be off.
 _MARGIN = 5.0 / SKETCH_ACCURACY
+# In a group this small a bracket of that width may hold less than a row on either side of its
+# quantile, so all of the group's rows count as inside.
+_WHOLE_GROUP = 20_000
 # Up to this estimate, ``percentile`` may hold a group's distinct values in memory.
 _IN_MEMORY_BYTES = 4 * 1024 * 1024
 
@@ -146,11 +149,16 @@ def exact_quantiles(
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
+    small = F.col("_n") <= _WHOLE_GROUP
+
+    def end(i: int, whole: bool, extreme: str) -> Column:
+        return F.col(extreme) if whole else F.when(small, F.col(extreme)).otherwise(F.col("_s")[i])
+
     limits = F.array(
         *[
             F.struct(
-                (F.col("_min") if lows[i] == 0.0 else F.col("_s")[i]).alias("lo"),
-                (F.col("_max") if highs[i] == 1.0 else F.col("_s")[k + i]).alias("hi"),
+                end(i, lows[i] == 0.0, "_min").alias("lo"),
+                end(k + i, highs[i] == 1.0, "_max").alias("hi"),
             )
             for i in range(k)
         ]

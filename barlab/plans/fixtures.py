@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from barlab.functions.timestamps import to_ms, to_us
 from barlab.operators import features, metrics
 from barlab.schema import DAY_MS
+from barlab.session import scratch_dir
 from barlab.sources.adapters import bars_from_events, bars_from_lineitem, read_table
+from barlab.sources.sinks import write_bars
+from barlab.sources.tables import load_bars
 
 HOUR_MS = 3_600_000
 EVENT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
@@ -91,3 +94,10 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.col("rsi_14") / 100, 4).alias("y_prob"),
     )
     return metrics.with_direction(scored)
+
+
+def read_bars_table(spark: SparkSession, d: str) -> DataFrame:
+    """Daily bars as a stored table, the form in which features normally meet them."""
+    path = scratch_dir(spark, "bars")
+    write_bars(daily(spark, d), path)
+    return load_bars(spark, path)
