@@ -102,7 +102,9 @@ def train_pipeline(
     columns = columns or FEATURE_COLUMNS
     for name, part in (("training table", train), ("validation table", val)):
         require_columns(part, [*columns, target], name)
-        require_rows(part, name)
+    train, val = (part.dropna(subset=[*columns, target]) for part in (train, val))
+    require_rows(train, "training table")
+    require_rows(val, "validation table")
     estimators = estimators or {LOGISTIC: logistic(target), FOREST: forest(target)}
     train = train.select(*columns, target).persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)

@@ -103,15 +103,15 @@ def dedup_bars(bars: DataFrame) -> DataFrame:
     """One bar per (symbol, open_time): the smallest by all other columns in order.
 
     A minimum combines on the map side, so a bar copied any number of times shuffles once
-    per input partition. Bars without symbol or time have no key and are all kept.
+    per input partition. Bars without symbol or time have no key; each is a group of its own.
     """
     require_columns(bars, BAR_COLUMNS)
     keys = ["symbol", "open_time"]
     rest = [c for c in bars.columns if c not in keys]
-    keyed = F.col("symbol").isNotNull() & F.col("open_time").isNotNull()
-    first = bars.filter(keyed).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_bar"))
-    kept = first.select(*keys, "_bar.*").select(*bars.columns)
-    return kept.unionByName(bars.filter(~keyed))
+    keyless = F.col("symbol").isNull() | F.col("open_time").isNull()
+    alone = bars.withColumn("_alone", F.when(keyless, F.monotonically_increasing_id()))
+    first = alone.groupBy(*keys, "_alone").agg(F.min(F.struct(*rest)).alias("_bar"))
+    return first.select(*keys, "_bar.*").select(*bars.columns)
 
 
 def with_tier(

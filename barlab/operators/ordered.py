@@ -85,9 +85,11 @@ def running_totals(
     ranged = ranged.withColumn("_range", _range_of(F.col("_edges"), F.col(order))).drop("_edges")
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
-    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*by)
-    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
+    # A struct of the group columns is never NULL itself, so groups with NULLs join plainly.
+    ranged = ranged.withColumn("_g", F.struct(*(by or [F.lit(0).alias("all")])))
+    before = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy("_g")
+    sums = ranged.groupBy("_g", "_range").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     columns = []
     for v in values:
         prior = F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0))
@@ -95,16 +97,11 @@ def running_totals(
             prior.alias(f"_prior_{v}"),
             F.sum(f"_s_{v}").over(everything).alias(f"total_{v}"),
         ]
-    starts = sums.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_r"), *columns
-    )
-    inside = Window.partitionBy(*by, "_range").orderBy(direction)
+    # Laid out like the large side; else that side would follow this one's layout by group.
+    starts = sums.select("_g", "_range", *columns).repartition("_g", "_range")
+    inside = Window.partitionBy("_g", "_range").orderBy(direction)
     local = ranged.withColumns({f"_local_{v}": F.sum(v).over(inside) for v in values})
-    match = F.col("_range") == F.col("_r")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    joined = local.join(starts, match)
-    return joined.select(
+    return local.join(starts, ["_g", "_range"]).select(
         *df.columns,
         *[(F.col(f"_prior_{v}") + F.col(f"_local_{v}")).alias(f"cum_{v}") for v in values],
         *[f"total_{v}" for v in values],

@@ -89,7 +89,8 @@ def _segments(
         raise ValueError("a segment must be at least as long as its margins")
     # A bucket of this width holds at most segment_rows unique bars.
     bucket_us = bar_ms * 1000 * segment_rows
-    df = df.withColumn("_bucket", int_div(to_us("open_time"), bucket_us))
+    no_time = F.lit(-(2**40))
+    df = df.withColumn("_bucket", F.coalesce(int_div(to_us("open_time"), bucket_us), no_time))
     before = (
         Window.partitionBy("symbol").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -97,10 +98,13 @@ def _segments(
         df.groupBy("symbol", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("symbol", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        # Else the bars would follow this small side's layout, which is by symbol alone.
+        .repartition("symbol", "_bucket")
     )
     in_bucket = Window.partitionBy("symbol", "_bucket").orderBy("open_time")
-    row = F.col("_start") + F.row_number().over(in_bucket) - 1
-    df = df.join(starts, ["symbol", "_bucket"]).withColumn(_ROW, row)
+    row = F.coalesce("_start", F.lit(0)) + F.row_number().over(in_bucket) - 1
+    # The row number's window needs the same distribution as this join: one shuffle for both.
+    df = df.join(starts, ["symbol", "_bucket"], "left").withColumn(_ROW, row)
     own = int_div(_ROW, segment_rows)
     offset = F.col(_ROW) - own * segment_rows
     copies = F.filter(

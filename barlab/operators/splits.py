@@ -2,49 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
 from barlab.functions.checks import require_columns
-from barlab.functions.timestamps import int_div, to_us
+from barlab.functions.timestamps import to_us
+from barlab.operators.ordered import running_totals
 from barlab.schema import HORIZON, TRAIN_FRACTION, VALIDATION_FRACTION
 
 SPLITS = ["train", "val", "test"]
-_DAY_US = 86_400_000_000
 
 
 def split_boundaries(
     table: DataFrame,
     train_fraction: float = TRAIN_FRACTION,
     val_fraction: float = VALIDATION_FRACTION,
+    split: bool | None = None,
 ) -> DataFrame:
     """The times at which train and validation end: one row, ``train_end`` and ``val_end``.
 
-    Each is the order statistic min(int(n p), n - 1) of all rows' times, cut to seconds. Rows
-    are counted per time and then per day, so the only undivided running sum is over days.
+    Each is the order statistic min(int(n p), n - 1) of all rows' times, cut to seconds: rows
+    are counted per time, and the counts run up to the wanted place.
     """
     require_columns(table, ["open_time"])
     times = (
         table.filter(F.col("open_time").isNotNull())
         .groupBy(to_us("open_time").alias("us"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("day", int_div("us", _DAY_US))
     )
-    days = times.groupBy("day").agg(F.sum("n").alias("day_n"))
-    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    starts = days.select(
-        "day",
-        F.coalesce(F.sum("day_n").over(earlier), F.lit(0)).alias("before"),
-        F.sum("day_n").over(Window.partitionBy()).alias("total"),
-    )
-    inside = Window.partitionBy("day").orderBy("us")
-    ranked = times.withColumn("seen", F.sum("n").over(inside)).join(starts, "day")
-    reached = F.col("before") + F.col("seen")
+    ranked = running_totals(times, "us", ["n"], split=split)
 
     def boundary(p: float) -> Column:
-        index = F.least(F.floor(F.col("total") * F.lit(p)), F.col("total") - 1)
-        first = F.min(F.when(reached > index, F.col("us")))
+        index = F.least(F.floor(F.col("total_n") * F.lit(p)), F.col("total_n") - 1)
+        first = F.min(F.when(F.col("cum_n") > index, F.col("us")))
         return F.date_trunc("second", F.timestamp_micros(first))
 
     return ranked.agg(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.functions.checks import require_columns
 from barlab.schema import BAR_COLUMNS, RAW_POSITIONS
-from barlab.sources.tables import spark_path
+from barlab.sources.tables import path_exists, spark_path
 
 
 def write_bars(bars: DataFrame, path: str, files: int | None = None) -> None:
@@ -62,3 +64,20 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(spark_path(path))
+
+
+def load_or_train(
+    spark: SparkSession, path: str, train: Callable[[], PipelineModel]
+) -> PipelineModel:
+    """The model saved at ``path``, or a newly trained one, saved there.
+
+    A model's stages are written after its metadata, so a save cut short is recognized by the
+    missing marker of the last stage and trained again.
+    """
+    if path_exists(spark, f"{path}/metadata/_SUCCESS"):
+        try:
+            return load_model(path)
+        except Exception:  # an incomplete save; anything else recurs when saving
+            pass
+    save_model(train(), path)
+    return load_model(path)

@@ -95,6 +95,15 @@ def test_training_scoring_saving(spark, parts, tmp_path):
     sinks.save_model(model, path)
     again = pipeline.score(sinks.load_model(path), val)
     assert again.exceptAll(pipeline.score(model, val)).count() == 0
+    calls = []
+
+    def fit():
+        calls.append(1)
+        return model
+
+    for _ in range(2):
+        sinks.load_or_train(spark, str(tmp_path / "cached"), fit)
+    assert len(calls) == 1
     tuned = metrics.with_direction(again, trained.cutoffs[pipeline.LOGISTIC])
     assert tuned.count() == val.count()
 

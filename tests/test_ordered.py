@@ -131,8 +131,9 @@ def test_series_slice_cuts_before_the_shuffle(spark, walk):
 def test_boundaries_are_exact_order_statistics(spark, n):
     times = pd.date_range("2024-01-01", periods=n, freq="7h")
     table = spark.createDataFrame(pd.DataFrame({"open_time": times}))
-    first, second = splits.boundary_values(table)
-    assert first == str(times[int(n * 0.7)]) and second == str(times[int(n * (0.7 + 0.15))])
+    for split in (None, True):
+        first, second = splits.boundary_values(table, split=split)
+        assert first == str(times[int(n * 0.7)]) and second == str(times[int(n * (0.7 + 0.15))])
 
 
 def test_boundaries_weigh_rows_not_times(spark):

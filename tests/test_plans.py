@@ -19,6 +19,22 @@ def test_features_take_one_shuffle_and_no_python(spark):
     assert "Python" not in text
 
 
+def test_segments_shuffle_the_bars_twice(spark):
+    bars = fx.read_bars_table(spark, D)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        text = plan(features.feature_matrix(bars, segment_rows=5000, bar_ms=DAY_MS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Two shuffles carry bars (number, then window); three carry one row per bucket, and only
+    # a shuffle of those is by symbol alone.
+    exchanges = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 5 and sum("_segment" in x for x in exchanges) == 1
+    assert sum("_bucket" in x for x in exchanges) == 3
+    assert "Python" not in text
+
+
 def test_rolling_values_read_only_their_columns(spark):
     bars = fx.read_bars_table(spark, D)
     text = plan(rolling.sma(bars).select("symbol", "open_time", "sma_15"))
