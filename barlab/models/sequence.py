@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlab.errors import DataValidationError
 from barlab.operators import metrics
 from barlab.operators.sequences import require_sequences, sequence_windows
 from barlab.schema import FEATURE_COLUMNS
@@ -85,6 +86,8 @@ def fit_sequence_classifier(
         fitting.unpersist()
     scored = score_sequences(fitted, val_windows, target)
     best = metrics.threshold_search(scored).first()
+    if best is None or best[0] is None:
+        raise DataValidationError(f"no symbol of the validation table has {rows} rows")
     return SequenceModel(
         PipelineModel(stages=[fitted]), columns, rows, hidden, best[0], best[1]
     )

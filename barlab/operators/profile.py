@@ -112,6 +112,7 @@ def profile_report(gaps: DataFrame, title: str, description: str) -> DataFrame:
     Lines are built in Spark; write them with ``sinks.write_text``.
     """
     totals = profile_totals(gaps)
+    # The report's wording and table layout.
     head = [
         F.lit(f"# {title}"),
         F.lit(""),

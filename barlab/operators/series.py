@@ -26,9 +26,10 @@ from barlab.functions.checks import fits_one_task, require_columns
 from barlab.functions.timestamps import int_div, to_us
 from barlab.schema import MINUTE_MS
 
-# A symbol longer than this is cut into segments.
-MAX_SYMBOL_ROWS = 4_000_000
-SEGMENT_ROWS = 1_000_000
+# A symbol longer than this is cut into segments. Windows cost far more than a shuffle, so
+# short tasks are worth the second one; the margins are half a percent of a segment.
+MAX_SYMBOL_ROWS = 500_000
+SEGMENT_ROWS = 250_000
 
 _POS, _SEGMENT, _OWN, _ROW = "_pos", "_segment", "_own", "_row"
 
