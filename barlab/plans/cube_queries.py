@@ -163,9 +163,10 @@ def topk_set_diff(spark, d):
 
 @query(
     "log_histogram",
-    f"{_FLAGGED}, x AS (SELECT in_cohort, log10(std_r) AS v, "
+    # The range spans all symbols, those without any deviation included.
+    f"{_FLAGGED}, x AS (SELECT in_cohort, CASE WHEN std_r > 0 THEN log10(std_r) END AS v, "
     "log10(greatest(min(std_r) OVER (), 1e-6)) AS lo, log10(max(std_r) OVER ()) AS hi "
-    "FROM flagged WHERE std_r > 0) "
+    "FROM flagged) "
     "SELECT in_cohort, least(floor((v - lo) * 39 / (hi - lo))::BIGINT, 38) AS bin, count(*) AS n "
     "FROM x WHERE v >= lo GROUP BY 1, 2",
 )
