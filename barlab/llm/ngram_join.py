@@ -9,11 +9,13 @@ least.
 
 1. ``profiles``: one pass over the texts gives set size, set signature and ordered prefix.
 2. Equal sets are one class with its smallest id as representative; only these go on.
-3. Documents of a token group are first linked to the group's first and to their neighbour by
-   size, so a large group of near copies falls into one component by a number of comparisons that
-   is linear in its size.
-4. Then every pair of a token group that is not yet in one component is counted; a pair whose
-   shared prefix tokens and remaining lengths cannot reach the threshold is dropped.
+3. Documents of a token group are first compared with the group's first and with their neighbour
+   by size, so a large group of near copies falls into few components by a number of comparisons
+   that is linear in its size.
+4. Then every pair of a token group that is not yet in one component is tested inside its task and
+   leaves it only if it may reach the similarity: by size, by the places of the token (a pair's
+   first common token lies early in both sets), and by bitmaps in which every token of a set flips
+   one of ``BITS`` bits, so that two bitmaps never differ in more bits than the sets in tokens.
 5. ``verify``: the surviving partners of a document are stored as ordered sets in a trie (sorted,
    so that neighbours share their path). Its traversal takes over the partial overlap of the shared
    path and leaves a subtree once the remaining lengths cannot reach the required overlap.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.llm import texts
@@ -42,6 +44,8 @@ FREQUENT = 65_536
 # A shingle is reported by a block of this many documents if it holds it so often.
 BLOCK_REPEATS = 8
 BLOCK_BYTES = 16 << 20
+# Bits of a set's bitmap, 64 bytes that go with each shared prefix token.
+BITS = 512
 # Partners of one document that are verified in one group.
 PARTNERS = 1024
 
@@ -94,14 +98,21 @@ def _ordered_sets(column: pa.Array, n: int, lower: bool, frequent: np.ndarray) -
             yield np.unique(tokens[bounds[i] : bounds[i + 1]])
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Every token flips one bit."""
+    odd = np.bincount((tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _profiles(n: int, lower: bool, percent: int, frequent: np.ndarray):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, signatures, prefixes = [], [], []
+            sizes, signatures, prefixes, maps = [], [], [], []
             for tokens in _ordered_sets(b.column(1), n, lower, frequent):
                 sizes.append(len(tokens))
                 signatures.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 prefixes.append(tokens[: prefix_length(len(tokens), percent)].astype(np.int64))
+                maps.append(bitmap(tokens).tobytes())
             bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -110,8 +121,9 @@ def _profiles(n: int, lower: bool, percent: int, frequent: np.ndarray):
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                    pa.array(maps, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "signature", "prefix"],
+                names=["doc_id", "n_shingles", "signature", "prefix", "bitmap"],
             )
 
     return profile
@@ -133,85 +145,98 @@ def required_overlap(n_a, n_b, percent: int):
     return -(-percent * (n_a + n_b) // (100 + percent))
 
 
+class _Rows:
+    """Rows (token, n, doc, place, component, bitmap) sorted by token and size."""
+
+    def __init__(self, batch: pa.RecordBatch, before: _Rows | None = None, keep: slice = slice(0)):
+        columns = [batch.column(i).to_numpy() for i in range(5)]
+        maps = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        if before is not None:
+            columns = [np.concatenate((x[keep], y)) for x, y in zip(before.columns, columns)]
+            maps = np.concatenate((before.maps[keep], maps))
+        self.columns, self.maps = columns, maps
+        self.token, self.n, self.doc, self.place, self.component = columns
+
+    def able(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Whether row j, no shorter than row i, can be its partner with this as first common token."""
+        n_i, n_j = self.n[i], self.n[j]
+        least = required_overlap(n_i, n_j, percent)
+        use = (self.component[i] != self.component[j]) & (n_i >= least)
+        use &= (self.place[i] <= n_i - least) & (self.place[j] <= n_j - least)
+        at = np.flatnonzero(use)
+        apart = np.bitwise_count(self.maps[i[at]] ^ self.maps[j[at]]).sum(axis=1, dtype=np.int64)
+        use[at] = apart <= n_i[at] + n_j[at] - 2 * least[at]
+        return use
+
+
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Pairs of different documents, each once, the smaller id first."""
+    both = np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1)
+    both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ascontiguousarray(c)) for c in both.T.astype(np.int64)], names=["a", "b"]
+    )
+
+
 def _neighbours(percent: int):
-    """Pairs with the first and with the previous document, over rows sorted by token and size."""
+    """Pairs with the token's first and with the previous document, as far as they may be links."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token0, doc0, n0, lead_doc, lead_n = None, 0, 0, 0, 0
+        rows, lead = None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            token, n, doc = (b.column(i).to_numpy() for i in range(3))
-            start = np.ones(len(token), bool)
-            start[1:] = token[1:] != token[:-1]
-            start[0] = token0 is None or token[0] != token0
-            group = np.cumsum(start) - 1
-            leads = np.flatnonzero(start)
-            carried = not start[0]
-            docs = np.concatenate(([lead_doc], doc[leads])) if carried else doc[leads]
-            sizes = np.concatenate(([lead_n], n[leads])) if carried else n[leads]
-            group = group + carried
-            to_doc, to_n = docs[group], sizes[group]
-            prev_doc, prev_n = np.append(doc0, doc[:-1]), np.append(n0, n[:-1])
-            near = ~start & (100 * prev_n >= percent * n) & (prev_doc != doc)
-            star = ~start & (100 * to_n >= percent * n) & (to_doc != doc) & (to_doc != prev_doc)
-            a = np.concatenate((prev_doc[near], to_doc[star]))
-            z = np.concatenate((doc[near], doc[star]))
-            n_a, n_z = np.concatenate((prev_n[near], to_n[star])), np.concatenate((n[near], n[star]))
-            yield _counted(a, z, n_a, n_z)
-            token0, doc0, n0, lead_doc, lead_n = token[-1], doc[-1], n[-1], to_doc[-1], to_n[-1]
+            # Row 0 is the first of the last token so far and row 1 the last row.
+            keep = slice(0) if rows is None else [lead, len(rows.token) - 1]
+            rows = _Rows(b, rows, keep)
+            at = np.arange(len(rows.token))
+            start = np.append(True, rows.token[1:] != rows.token[:-1])
+            first = np.maximum.accumulate(np.where(start, at, 0))
+            fresh = at[2:] if len(at) > b.num_rows else at
+            i = np.concatenate((fresh[~start[fresh]] - 1, first[fresh]))
+            j = np.concatenate((fresh[~start[fresh]], fresh))
+            ok = (i != j) & (rows.doc[i] != rows.doc[j])
+            i, j = i[ok], j[ok]
+            ok = rows.able(i, j, percent)
+            yield _distinct_pairs(rows.doc[i[ok]], rows.doc[j[ok]])
+            lead = int(first[-1])
 
     return pair
 
 
-def _counted(a, b, n_a, n_b) -> pa.RecordBatch:
-    """Pairs with how often they occur, the smaller id first."""
-    swap = a > b
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    n_a, n_b = np.where(swap, n_b, n_a), np.where(swap, n_a, n_b)
-    order = np.lexsort((b, a))
-    a, b, n_a, n_b = a[order], b[order], n_a[order], n_b[order]
-    first = np.ones(len(a), bool)
-    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(first)
-    times = np.diff(np.append(at, len(a)))
-    columns = [a[at], b[at], n_a[at], n_b[at], times]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c.astype(np.int64)) for c in columns], names=["a", "b", "n_a", "n_b", "shared"]
-    )
-
-
 def _across(percent: int):
-    """Pairs of a token group whose components differ, over rows sorted by token and size."""
+    """Pairs of a token whose components differ, as far as they may be links.
+
+    Row j is tested against the row one before it, then two, and so on, for all j at once; a j
+    drops out where the token or the sizes' ratio ends.
+    """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = [np.zeros(0, np.int64)] * 4
-        held, size = [], 0
+        rows, keep, held, size = None, slice(0), [], 0
         for b in batches:
-            rows = [np.concatenate((t, b.column(i).to_numpy())) for i, t in enumerate(tail)]
-            fresh = len(tail[0])
-            token, n, doc, component = rows
-            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else []
-            ends = np.append(starts[1:], len(token)) if len(token) else []
-            for s, e in zip(starts, ends):
-                if e - s < 2 or (component[s:e] == component[s]).all():
-                    continue
-                for i in range(max(s + 1, fresh), e):
-                    low = s + np.searchsorted(100 * n[s:i], percent * n[i])
-                    other = low + np.flatnonzero(component[low:i] != component[i])
-                    if len(other):
-                        full = np.full(len(other), i)
-                        held.append((doc[other], doc[full], n[other], n[full]))
-                        size += len(other)
-                    if size >= 1 << 20:
-                        yield _counted(*(np.concatenate(x) for x in zip(*held)))
-                        held, size = [], 0
-            # Of the last group, rows too short for any later row are not needed any more.
-            if len(token):
-                low = starts[-1] + np.searchsorted(100 * n[starts[-1] :], percent * n[-1])
-                tail = [r[low:].copy() for r in rows]
+            if not b.num_rows:
+                continue
+            rows = _Rows(b, rows, keep)
+            j, back = np.arange(len(rows.token) - b.num_rows, len(rows.token)), 0
+            while len(j):
+                back += 1
+                j = j[j >= back]
+                i = j - back
+                near = (rows.token[i] == rows.token[j]) & (100 * rows.n[i] >= percent * rows.n[j])
+                i, j = i[near], j[near]
+                ok = rows.able(i, j, percent)
+                if ok.any():
+                    held.append((rows.doc[i[ok]], rows.doc[j[ok]]))
+                    size += int(ok.sum())
+                if size >= 1 << 19:
+                    yield _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
+                    held, size = [], 0
+            # Of the last token, rows that are long enough to meet later ones.
+            first = np.searchsorted(rows.token, rows.token[-1])
+            first += np.searchsorted(100 * rows.n[first:], percent * rows.n[-1])
+            keep = slice(int(first), None)
         if held:
-            yield _counted(*(np.concatenate(x) for x in zip(*held)))
+            yield _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
 
     return pair
 
@@ -293,7 +318,7 @@ class NgramJoin:
         self.frequent = self._frequent_tokens()
         made = self.docs.mapInArrow(
             _profiles(n, lower, percent, self.frequent),
-            "doc_id long, n_shingles long, signature binary, prefix array<long>",
+            "doc_id long, n_shingles long, signature binary, prefix array<long>, bitmap binary",
         )
         self.profiles = materialize(made, "profiles")
 
@@ -313,18 +338,10 @@ class NgramJoin:
         kept = self.profiles.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
         return kept.groupBy("n_shingles", "signature").agg(F.min("doc_id").alias("rep"))
 
-    def _by_token(self, reps: DataFrame, *extra: str) -> DataFrame:
-        rows = reps.select(F.explode("prefix").alias("token"), F.col("n_shingles").alias("n"), "doc_id", *extra)
+    def _by_token(self, shared: DataFrame, documents: DataFrame) -> DataFrame:
+        rows = shared.join(documents, "doc_id").select("token", "n", "doc_id", "place", "component", "bitmap")
         return rows.repartition(self.parts, "token").sortWithinPartitions("token", "n", "doc_id")
 
-    def _able(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose shared prefix tokens leave the required overlap possible."""
-        p = self.percent
-        rest = F.expr(f"greatest((n_a * {p} + 99) div 100, (n_b * {p} + 99) div 100) - 1")
-        least = F.expr(f"((n_a + n_b) * {p} + {99 + p}) div {100 + p}")
-        summed = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-        return summed.filter(F.col("shared") + rest >= least).select("a", "b")
-
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) whose full sets reach the similarity."""
         ids = materialize(
@@ -358,18 +375,22 @@ class NgramJoin:
             ["n_shingles", "signature", "doc_id"],
             "left_semi",
         )
-        reps = materialize(reps.select("doc_id", "n_shingles", "prefix"), "representatives")
-        pair = "a long, b long, n_a long, n_b long, shared long"
-        near = self._by_token(reps).mapInArrow(_neighbours(self.percent), pair)
-        near = materialize(self._able(near), "pairs")
-        first = materialize(self.verify(near), "links")
-        known = components(first)
-        labelled = reps.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
+        reps = materialize(reps.select("doc_id", "n_shingles", "prefix", "bitmap"), "representatives")
+        postings = reps.select(
+            F.posexplode("prefix").alias("place", "token"), F.col("n_shingles").alias("n"), "doc_id"
         )
-        rest = self._by_token(labelled, "component").mapInArrow(_across(self.percent), pair)
-        rest = materialize(self._able(rest), "pairs")
-        return first.union(self.verify(rest))
+        # Most prefix tokens are in one document only and can link nothing.
+        holders = F.count(F.lit(1)).over(Window.partitionBy("token"))
+        shared = postings.withColumn("holders", holders).filter("holders > 1").drop("holders")
+        shared = materialize(shared, "shared")
+        alone = reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
+        near = self._by_token(shared, alone).mapInArrow(_neighbours(self.percent), "a long, b long")
+        first = materialize(self.verify(materialize(near.distinct(), "pairs")), "links")
+        known = components(first).withColumnRenamed("node", "doc_id")
+        labelled = reps.select("doc_id", "bitmap").join(known, "doc_id", "left")
+        labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
+        rest = self._by_token(shared, labelled).mapInArrow(_across(self.percent), "a long, b long")
+        return first.union(self.verify(materialize(rest.distinct(), "pairs")))
 
     def membership(self) -> DataFrame:
         """doc_id, n_shingles, class_id and component_id of every row.
