@@ -9,9 +9,10 @@ least.
 
 1. ``profiles``: one pass over the texts gives set size, set signature and ordered prefix.
 2. Equal sets are one class with its smallest id as representative; only these go on.
-3. Documents of a token group are first compared with the group's first and with their neighbour
-   by size, so a large group of near copies falls into few components by a number of comparisons
-   that is linear in its size.
+3. Documents of a token group are first compared with the ``WINDOW`` documents before them by
+   size, and each is verified with the closest of these only; then once more with the closest of
+   another component. So a large group of near copies falls into few components by work that is
+   linear in its size.
 4. Then every pair of a token group that is not yet in one component is tested inside its task and
    leaves it only if it may reach the similarity: by size, by the places of the token (a pair's
    first common token lies early in both sets), and by bitmaps in which every token of a set flips
@@ -46,6 +47,8 @@ BLOCK_REPEATS = 8
 BLOCK_BYTES = 16 << 20
 # Bits of a set's bitmap, 64 bytes that go with each shared prefix token.
 BITS = 512
+# Documents before it, by size, that a document is first compared with.
+WINDOW = 32
 # Partners of one document that are verified in one group.
 PARTNERS = 1024
 
@@ -157,16 +160,17 @@ class _Rows:
         self.columns, self.maps = columns, maps
         self.token, self.n, self.doc, self.place, self.component = columns
 
-    def able(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-        """Whether row j, no shorter than row i, can be its partner with this as first common token."""
+    def able(self, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which rows j, no shorter than rows i, can be their partners with this as first common
+        token, and in how many bits these differ."""
         n_i, n_j = self.n[i], self.n[j]
         least = required_overlap(n_i, n_j, percent)
         use = (self.component[i] != self.component[j]) & (n_i >= least)
         use &= (self.place[i] <= n_i - least) & (self.place[j] <= n_j - least)
         at = np.flatnonzero(use)
         apart = np.bitwise_count(self.maps[i[at]] ^ self.maps[j[at]]).sum(axis=1, dtype=np.int64)
-        use[at] = apart <= n_i[at] + n_j[at] - 2 * least[at]
-        return use
+        near = apart <= n_i[at] + n_j[at] - 2 * least[at]
+        return at[near], apart[near]
 
 
 def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -178,28 +182,35 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _neighbours(percent: int):
-    """Pairs with the token's first and with the previous document, as far as they may be links."""
+def _closest(percent: int):
+    """For each row, the closest of the rows just before it that may be a link (a, b, apart)."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, lead = None, 0
+        rows, keep = None, slice(0)
         for b in batches:
             if not b.num_rows:
                 continue
-            # Row 0 is the first of the last token so far and row 1 the last row.
-            keep = slice(0) if rows is None else [lead, len(rows.token) - 1]
             rows = _Rows(b, rows, keep)
-            at = np.arange(len(rows.token))
-            start = np.append(True, rows.token[1:] != rows.token[:-1])
-            first = np.maximum.accumulate(np.where(start, at, 0))
-            fresh = at[2:] if len(at) > b.num_rows else at
-            i = np.concatenate((fresh[~start[fresh]] - 1, first[fresh]))
-            j = np.concatenate((fresh[~start[fresh]], fresh))
-            ok = (i != j) & (rows.doc[i] != rows.doc[j])
-            i, j = i[ok], j[ok]
-            ok = rows.able(i, j, percent)
-            yield _distinct_pairs(rows.doc[i[ok]], rows.doc[j[ok]])
-            lead = int(first[-1])
+            j = np.arange(len(rows.token) - b.num_rows, len(rows.token))
+            best = np.full(len(rows.token), BITS + 1)
+            partner = np.full(len(rows.token), -1)
+            for back in range(1, WINDOW + 1):
+                j = j[j >= back]
+                i = j - back
+                near = (rows.token[i] == rows.token[j]) & (100 * rows.n[i] >= percent * rows.n[j])
+                i, j = i[near], j[near]
+                if not len(j):
+                    break
+                at, apart = rows.able(i, j, percent)
+                closer = apart < best[j[at]]
+                at, apart = at[closer], apart[closer]
+                best[j[at]], partner[j[at]] = apart, i[at]
+            found = np.flatnonzero(partner >= 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows.doc[found]), pa.array(rows.doc[partner[found]]), pa.array(best[found])],
+                names=["a", "b", "apart"],
+            )
+            keep = slice(max(0, len(rows.token) - WINDOW), None)
 
     return pair
 
@@ -224,10 +235,10 @@ def _across(percent: int):
                 i = j - back
                 near = (rows.token[i] == rows.token[j]) & (100 * rows.n[i] >= percent * rows.n[j])
                 i, j = i[near], j[near]
-                ok = rows.able(i, j, percent)
-                if ok.any():
+                ok, _ = rows.able(i, j, percent)
+                if len(ok):
                     held.append((rows.doc[i[ok]], rows.doc[j[ok]]))
-                    size += int(ok.sum())
+                    size += len(ok)
                 if size >= 1 << 19:
                     yield _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
                     held, size = [], 0
@@ -383,14 +394,22 @@ class NgramJoin:
         holders = F.count(F.lit(1)).over(Window.partitionBy("token"))
         shared = postings.withColumn("holders", holders).filter("holders > 1").drop("holders")
         shared = materialize(shared, "shared")
-        alone = reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
-        near = self._by_token(shared, alone).mapInArrow(_neighbours(self.percent), "a long, b long")
-        first = materialize(self.verify(materialize(near.distinct(), "pairs")), "links")
-        known = components(first).withColumnRenamed("node", "doc_id")
-        labelled = reps.select("doc_id", "bitmap").join(known, "doc_id", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
-        rest = self._by_token(shared, labelled).mapInArrow(_across(self.percent), "a long, b long")
-        return first.union(self.verify(materialize(rest.distinct(), "pairs")))
+        found, labelled = None, reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
+        for exhaustive in (False, False, True):
+            rows = self._by_token(shared, labelled)
+            if exhaustive:
+                pairs = rows.mapInArrow(_across(self.percent), "a long, b long").distinct()
+            else:
+                near = rows.mapInArrow(_closest(self.percent), "a long, b long, apart long").filter("a <> b")
+                near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m"))
+                pairs = near.select("a", "m.b")
+            links = self.verify(materialize(pairs, "pairs"))
+            found = materialize(links if found is None else found.union(links), "links")
+            if not exhaustive:
+                known = components(found).withColumnRenamed("node", "doc_id")
+                labelled = reps.select("doc_id", "bitmap").join(known, "doc_id", "left")
+                labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
+        return found
 
     def membership(self) -> DataFrame:
         """doc_id, n_shingles, class_id and component_id of every row.
