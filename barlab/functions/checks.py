@@ -1,4 +1,4 @@
-"""Plan-time checks: required columns and size estimates."""
+"""Checks on a table before an operator is planned."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 
 from barlab.errors import DataValidationError
 
-# Below this estimate one task can hold a whole table, so no key in it can be too hot.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-
-
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "input") -> None:
     missing = sorted(set(required) - set(df.columns))
     if missing:
@@ -21,19 +17,3 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
 def require_rows(df: DataFrame, what: str = "input") -> None:
     if df.isEmpty():
         raise DataValidationError(f"{what} has no rows")
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for a plan (files and row widths; runs no job).
-
-    None where the session does not expose it.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit

@@ -118,7 +118,7 @@ def with_tier(
     table: DataFrame,
     top_symbols: list[str],
     in_cohort: str = "in_cohort",
-    labels: tuple[str, str, str] = ("top-20 sample", "210 cohort (rest)", "other symbols"),
+    labels: tuple[str, str, str] = ("listed", "full history", "other"),
 ) -> DataFrame:
     """Tier of a symbol: the listed set first, then the cohort flag, then the rest."""
     require_columns(table, ["symbol", in_cohort])

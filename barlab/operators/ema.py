@@ -4,6 +4,9 @@ For a = 2 / (span + 1) and q = 1 - a the average is y_0 = x_0, y_t = q y_(t-1) +
 unrolls to y_t = sum of a q^(t-j) x_j. Rows are cut into blocks; inside a block the sum is
 q^k times a running sum of a x_j q^(-j), so it costs one pass.
 
+A row without a value (NULL or NaN) has weight 0 and a NULL result; later averages divide by the
+decayed weights of the values that are there, which is 1 as long as none is missing.
+
 What precedes the block adds q^(k+1) times the previous block's last average. With blocks
 long enough that q^rows is below MEMORY, that average needs only its own block's rows: all
 older rows weigh less than the rounding of a double. The same bound is the lookback with
@@ -53,35 +56,45 @@ def with_emas(s: Series, columns: dict[str, tuple[str | Column, int]]) -> Series
     in_block = Window.partitionBy(*s.keys, "_block").orderBy("_k")
     before = s.ordered().rowsBetween(Window.unboundedPreceding, -1)
     growing = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    local, final, used = {}, {}, []
-    for out, (x, span) in columns.items():
+    values = {}
+    for out, (x, _) in columns.items():
         x = F.col(x) if isinstance(x, str) else x
-        q = _decay(span)
-        if span == 1:
-            local[f"_l_{out}"] = x
-        else:
-            start = (F.col("_block") == 0) & (F.col("_k") == 0)
-            weight = F.when(start, F.lit(1.0)).otherwise(F.lit(1.0 - q))
-            scaled = F.sum(x * weight * F.pow(F.lit(q), -F.col("_k"))).over(growing)
-            local[f"_l_{out}"] = scaled * F.pow(F.lit(q), F.col("_k"))
-        used.append(f"_l_{out}")
+        values[out] = F.when(~F.isnan(x), x.cast("double"))
+    local = {}
+    for out, (_, span) in columns.items():
+        q, x = _decay(span), values[out]
+        if span > 1:
+            # The first value of a series starts the average with the whole weight.
+            first = (F.col("_block") == 0) & (F.count(x).over(growing) == 1)
+            local[f"_w_{out}"] = F.when(x.isNotNull(), F.when(first, 1.0).otherwise(1.0 - q)).otherwise(0.0)
     s = s.with_columns(local)
-    # Last local average of the block before: the latest value on a block's final row.
+    sums = {}
+    for out, (_, span) in columns.items():
+        if span > 1:
+            q, x, weight = _decay(span), values[out], F.col(f"_w_{out}")
+            back, forth = F.pow(F.lit(q), -F.col("_k")), F.pow(F.lit(q), F.col("_k"))
+            total = F.sum(F.coalesce(x, F.lit(0.0)) * weight * back).over(growing) * forth
+            sums[f"_l_{out}"] = F.struct(total.alias("x"), (F.sum(weight * back).over(growing) * forth).alias("w"))
+    s = s.with_columns(sums)
+    # Last local sums of the block before: the latest ones on a block's final row.
     carries = {}
     for out, (_, span) in columns.items():
-        if span == 1:
-            continue
-        ends = F.when(F.col("_k") == s.block - 1, F.col(f"_l_{out}"))
-        carries[f"_c_{out}"] = F.last(ends, ignorenulls=True).over(before)
+        if span > 1:
+            ends = F.when(F.col("_k") == s.block - 1, F.col(f"_l_{out}"))
+            carries[f"_c_{out}"] = F.last(ends, ignorenulls=True).over(before)
     s = s.with_columns(carries)
+    final = {}
     for out, (_, span) in columns.items():
-        y = F.col(f"_l_{out}")
-        if span > 1:
-            older = F.coalesce(F.col(f"_c_{out}"), F.lit(0.0))
-            y = y + F.pow(F.lit(_decay(span)), F.col("_k") + 1) * older
-        final[out] = y
+        if span == 1:
+            final[out] = values[out]
+            continue
+        decay = F.pow(F.lit(_decay(span)), F.col("_k") + 1)
+        parts = {
+            k: F.col(f"_l_{out}")[k] + decay * F.coalesce(F.col(f"_c_{out}")[k], F.lit(0.0)) for k in "xw"
+        }
+        final[out] = F.when(values[out].isNotNull(), parts["x"] / parts["w"])
     s = s.with_columns(final)
-    return s.drop(*used, *carries)
+    return s.drop(*local, *sums, *carries)
 
 
 def blocked_for(s: Series, spans: list[int]) -> Series:
@@ -118,7 +131,7 @@ def macd_lookback(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
 
 
 def ema(bars: DataFrame, spans: tuple[int, ...] = (15, 50), x: str = "close", **layout):
-    """Add ``ema_<span>`` of a column that has no NULLs."""
+    """Add ``ema_<span>``; NULL where the column has no value."""
     require_columns(bars, [x])
     out = bars
     for group in share_blocks(list(spans)):

@@ -48,7 +48,21 @@ def _count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0)).cast("long")
 
 
+def is_scored() -> Column:
+    """A row that can be scored: truth and direction are 0 or 1, the score is a number."""
+    score = F.col("y_prob").cast("double")
+    right = F.col("y_true").isin(0, 1) & F.col("y_pred").isin(0, 1)
+    return F.coalesce(right & score.isNotNull() & ~F.isnan(score), F.lit(False))
+
+
+def unscored(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per group, the rows that the metrics leave out because something of them is missing."""
+    require_columns(predictions, ["y_true", "y_pred", "y_prob", *(by or [])], "prediction table")
+    return predictions.groupBy(*(by or [])).agg(_count_if(~is_scored()).alias("unscored"))
+
+
 def confusion(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Counts of truth by direction; rows where either is missing are left out."""
     require_columns(predictions, ["y_true", "y_pred", *(by or [])], "prediction table")
     y, p = F.col("y_true"), F.col("y_pred")
     return predictions.groupBy(*(by or [])).agg(
@@ -67,11 +81,12 @@ def classification_metrics(predictions: DataFrame, by: list[str] | None = None)
 
 
 def score_counts(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rows per (group, score) split by truth and by prediction."""
+    """Scored rows per (group, score) split by truth and by prediction; see ``unscored``."""
     by = list(by or [])
     require_columns(predictions, ["y_true", "y_pred", "y_prob", *by], "prediction table")
     y, p = F.col("y_true"), F.col("y_pred")
-    return predictions.groupBy(*by, F.col("y_prob").cast("double").alias("y_prob")).agg(
+    scored = predictions.filter(is_scored())
+    return scored.groupBy(*by, F.col("y_prob").cast("double").alias("y_prob")).agg(
         _count_if(y == 1).alias("n_pos"),
         _count_if(y == 0).alias("n_neg"),
         _count_if((y == 1) & (p == 1)).alias("n_tp"),
@@ -80,7 +95,7 @@ def score_counts(predictions: DataFrame, by: list[str] | None = None) -> DataFra
 
 
 def metrics_from_scores(
-    scores: DataFrame, by: list[str] | None = None, split: bool | None = None
+    scores: DataFrame, by: list[str] | None = None, split: bool = True
 ) -> DataFrame:
     by = list(by or [])
     ranked = running_totals(scores, "y_prob", ["n_pos", "n_neg"], by, descending=True, split=split)
@@ -116,7 +131,7 @@ def metrics_from_scores(
 
 
 def evaluate(
-    predictions: DataFrame, by: list[str] | None = None, split: bool | None = None
+    predictions: DataFrame, by: list[str] | None = None, split: bool = True
 ) -> DataFrame:
     """All metrics per group in one pass over the predictions."""
     return metrics_from_scores(score_counts(predictions, by), by, split)
@@ -146,22 +161,14 @@ def with_regime(
     """Add the quantile bin of a column: [low, high), the last bin closed."""
     edges = exact_quantiles(predictions, column, [i / bins for i in range(bins + 1)], **split)
     table = predictions.withColumn("_edges", edges.scalar())
-    x, edge = F.col(column), lambda i: F.col("_edges")[i]
-    names = regime_names(bins)
-    # The first match wins, so test the last (closed) bin only after the open ones.
-    name = F.when((x >= edge(0)) & (x < edge(1)), names[0]) if bins > 1 else None
-    for i in range(1, bins - 1):
-        name = name.when((x >= edge(i)) & (x < edge(i + 1)), names[i])
-    last = (x >= edge(bins - 1)) & (x <= edge(bins))
-    name = F.when(last, names[-1]) if name is None else name.when(last, names[-1])
-    order = {n: i for i, n in enumerate(names)}
-    index = F.lit(None).cast("int")
-    for n, i in order.items():
-        index = F.when(F.col("regime") == n, i).otherwise(index)
-    table = table.withColumn("regime", name).filter(F.col("regime").isNotNull())
-    table = table.withColumn("_i", index)
+    x, edge = F.col(column), F.col("_edges")
+    inner = F.slice(edge, 2, bins - 1) if bins > 1 else F.array().cast("array<double>")
+    # Inner edges at or below the value; where edges coincide the bins between them stay empty.
+    bin_ = F.when((x >= edge[0]) & (x <= edge[bins]), F.size(F.filter(inner, lambda e: e <= x)))
+    table = table.withColumn("_i", bin_).filter(F.col("_i").isNotNull())
+    names = F.array(*map(F.lit, regime_names(bins)))
     return table.withColumns(
-        {"min_val": F.col("_edges")[F.col("_i")], "max_val": F.col("_edges")[F.col("_i") + 1]}
+        {"regime": names[F.col("_i")], "min_val": edge[F.col("_i")], "max_val": edge[F.col("_i") + 1]}
     ).drop("_edges", "_i")
 
 
@@ -320,7 +327,7 @@ def model_ladder(predictions: DataFrame, **split) -> DataFrame:
 
 
 def roc_points(
-    predictions: DataFrame, by: list[str] | None = None, split: bool | None = None
+    predictions: DataFrame, by: list[str] | None = None, split: bool = True
 ) -> DataFrame:
     """False and true positive rate at every distinct score."""
     by = list(by or [])

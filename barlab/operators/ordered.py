@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.functions.checks import ONE_TASK_BYTES, fits_one_task
-
-# Ranges per running total: a range is found in three steps of eight.
+# A range is found in three steps of this many at least.
 _FAN = 8
-RANGES = _FAN**3
 # The sketch behind the ranges and the brackets is off by at most 1 / accuracy of the ranks.
 SKETCH_ACCURACY = 10_000
 # Half-width of a quantile's bracket, several times what the sketch may be off.
@@ -17,34 +16,39 @@ _MARGIN = 5.0 / SKETCH_ACCURACY
 # In a group this small a bracket of that width may hold less than a row on either side of its
 # quantile, so all of the group's rows count as inside.
 _WHOLE_GROUP = 20_000
-# Up to this estimate, ``percentile`` may hold a group's distinct values in memory.
-_IN_MEMORY_BYTES = 4 * 1024 * 1024
 
 
-def _edges(order: str) -> tuple[Column, Column]:
-    """The sketch of the cut points, and the same as all of them, every 8th and every 64th."""
-    cuts = F.percentile_approx(order, [i / RANGES for i in range(1, RANGES)], SKETCH_ACCURACY)
+def fan(df: DataFrame) -> int:
+    """Steps in which a range is found: their cube, the ranges, is four for each shuffle task."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(_FAN, math.ceil((4 * tasks) ** (1 / 3)))
+
+
+def _edges(order: str, fan: int) -> tuple[Column, Column]:
+    """The sketch of the cut points, and the same as all of them, every n-th and every n²-th."""
+    ranges = fan**3
+    cuts = F.percentile_approx(order, [i / ranges for i in range(1, ranges)], max(SKETCH_ACCURACY, 4 * ranges))
 
     def every(step: int) -> Column:
-        places = F.sequence(F.lit(step), F.lit(RANGES - step), F.lit(step))
+        places = F.sequence(F.lit(step), F.lit(ranges - step), F.lit(step))
         return F.transform(places, lambda i: F.element_at(F.col("_cuts"), i))
 
     return cuts.alias("_cuts"), F.struct(
-        F.col("_cuts").alias("fine"), every(_FAN).alias("mid"), every(_FAN**2).alias("coarse")
+        F.col("_cuts").alias("fine"), every(fan).alias("mid"), every(fan**2).alias("coarse")
     ).alias("_e")
 
 
-def _range_of(edges: Column, value: Column) -> Column:
+def _range_of(edges: Column, value: Column, fan: int) -> Column:
     """How many cut points are at or below the value."""
 
     def below(points: Column) -> Column:
         return F.size(F.filter(points, lambda e: e <= value))
 
-    a = below(edges["coarse"]) * _FAN
-    b = (a + below(F.slice(edges["mid"], a + 1, _FAN - 1))) * _FAN
+    a = below(edges["coarse"]) * fan
+    b = (a + below(F.slice(edges["mid"], a + 1, fan - 1))) * fan
     # Never NULL: else the join on it would push a not-NULL test, and with it this whole
     # expression, below the grouping, and the grouped rows could not be shared.
-    return F.coalesce(b + below(F.slice(edges["fine"], b + 1, _FAN - 1)), F.lit(0))
+    return F.coalesce(b + below(F.slice(edges["fine"], b + 1, fan - 1)), F.lit(0))
 
 
 def running_totals(
@@ -53,21 +57,19 @@ def running_totals(
     values: list[str],
     by: list[str] | None = None,
     descending: bool = False,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Add ``cum_<v>`` (running, current row included) and ``total_<v>`` for each value.
 
     ``df`` must hold one row per (by, order), with ``order`` numeric and not NULL: group first.
 
-    A running total is a window with nothing to divide a group by, which would be one task. A
-    large table is cut at approximate quantiles into ranges of about equal size; totals run
+    A running total is a window with nothing to divide a group by, which would be one task. The
+    table is cut at approximate quantiles into ranges of about equal size; totals run
     inside each range and the few range totals run across ranges. The cut only balances work:
-    the result is exact wherever the cut points fall. ``split=None`` runs the plain window
-    while the plan's size shows that one task can hold it.
+    the result is exact wherever the cut points fall. ``split=False`` is the caller's word that
+    one task can hold a group, which then is one plain window.
     """
     by = list(by or [])
-    if split is None:
-        split = not fits_one_task(df)
     direction = F.col(order).desc() if descending else F.col(order).asc()
     if not split:
         inside = Window.partitionBy(*by).orderBy(direction)
@@ -79,10 +81,11 @@ def running_totals(
 
     # The sums beside the sketch keep this plan's columns the same as the main branch's, so
     # that Spark reuses the shuffle that produced df.
-    cuts, edges = _edges(order)
+    steps = fan(df)
+    cuts, edges = _edges(order, steps)
     sketch = df.agg(cuts, *[F.sum(v).alias(v) for v in values]).select(edges)
     ranged = df.withColumn("_edges", sketch.scalar())
-    ranged = ranged.withColumn("_range", _range_of(F.col("_edges"), F.col(order))).drop("_edges")
+    ranged = ranged.withColumn("_range", _range_of(F.col("_edges"), F.col(order), steps)).drop("_edges")
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
     # A struct of the group columns is never NULL itself, so groups with NULLs join plainly.
@@ -114,22 +117,20 @@ def exact_quantiles(
     probabilities: list[float],
     by: list[str] | None = None,
     few_groups: bool = False,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group, ``quantiles`` an array of doubles.
 
-    A small table goes through ``percentile``, which keeps every distinct value of a group in
-    one task. A large one is read twice and hardly shuffled: a sketch brackets each quantile
-    between two values; then the rows below each bracket are counted and only the rows inside
+    The table is read twice and hardly shuffled: a sketch brackets each quantile between two
+    values; then the rows below each bracket are counted and only the rows inside
     it (about a thousandth) are put in order. A bracket that missed its quantile raises; it
-    cannot give a wrong value.
+    cannot give a wrong value. ``split=False`` is the caller's word that a task can hold every
+    distinct value of a group, and uses ``percentile``.
 
     ``few_groups`` says the groups are fixed and few (features, classes), so that their
     brackets may be broadcast.
     """
     by = list(by or [])
-    if split is None:
-        split = not fits_one_task(df, _IN_MEMORY_BYTES)
     present = df.filter(F.col(column).isNotNull()).select(
         *by, F.col(column).cast("double").alias("_v")
     )
@@ -182,9 +183,7 @@ def exact_quantiles(
     )
     counts = marked.groupBy(*by, "_n", F.col("_m")["i"].alias("_i"), F.col("_m")["v"].alias("_x"))
     counts = counts.agg(F.count(F.lit(1)).alias("_c"))
-    # Only the brackets' rows remain, so one task holds a table this much larger.
-    whole_bracket = fits_one_task(df, int(ONE_TASK_BYTES / (4 * _MARGIN)))
-    ranked = running_totals(counts, "_x", ["_c"], [*by, "_n", "_i"], split=not whole_bracket)
+    ranked = running_totals(counts, "_x", ["_c"], [*by, "_n", "_i"])
 
     # Ranks of the two order statistics around each quantile, and the weight of the upper one.
     p = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1)

@@ -2,16 +2,17 @@
 
 Every rolling, lagging, leading and exponential operator is written once, against a
 ``Series``: a table, the columns that partition its windows and the columns that order them.
-``over_series`` decides what those are.
 
-* While no symbol can be large, the windows are partitioned by symbol: one shuffle, one sort.
-* Otherwise bars are numbered within their symbol and cut into segments of ``segment_rows``
-  consecutive rows. Each segment also receives the ``lookback`` rows before it and the
-  ``lookahead`` rows after it, and those copies are dropped once the windows are computed.
-  The cut is by row number, so gaps in time cannot leave a window short. A symbol then
-  spreads over as many tasks as its length asks for.
+Bars are numbered within their symbol and cut into segments of ``segment_rows`` consecutive rows.
+Each segment also receives the ``lookback`` rows before it and the ``lookahead`` rows after it, and
+those copies are dropped once the windows are computed. The cut is by row number, so gaps in time
+cannot leave a window short. A symbol then spreads over as many tasks as its length asks for, at
+any size of the table and without a look at its rows beforehand. ``segment_rows=None`` is the
+caller's word that no symbol exceeds a task; windows are then partitioned by symbol alone.
 
-Bars must be unique per (symbol, open_time); ``clean.dedup_bars`` makes them so.
+Rows are ordered by time and then by all other columns, so that copies of one instant get the same
+numbers in every run and every retry. Bars without a symbol are one series. Bars should be unique
+per (symbol, open_time); ``clean.dedup_bars`` makes them so.
 """
 
 from __future__ import annotations
@@ -22,13 +23,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barlab.functions.checks import fits_one_task, require_columns
+from barlab.functions.checks import require_columns
 from barlab.functions.timestamps import int_div, to_us
 from barlab.schema import MINUTE_MS
 
-# A symbol longer than this is cut into segments. Windows cost far more than a shuffle, so
-# short tasks are worth the second one; the margins are half a percent of a segment.
-MAX_SYMBOL_ROWS = 500_000
+# Windows cost far more than a shuffle, so short tasks are worth a second one; the margins are
+# half a percent of a segment.
 SEGMENT_ROWS = 250_000
 
 _POS, _SEGMENT, _OWN, _ROW = "_pos", "_segment", "_own", "_row"
@@ -67,24 +67,14 @@ class Series:
         return Series(df, self.keys, ["_block", "_k"], rows)
 
 
-def longest_symbol(df: DataFrame) -> int:
-    """Rows of the symbol with most rows (a map-side count, one number to the driver)."""
-    counts = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def choose_segment_rows(df: DataFrame, max_symbol_rows: int = MAX_SYMBOL_ROWS) -> int | None:
-    """None where a task per symbol is safe, else the segment length.
-
-    A table whose planned size fits one task needs no look at its rows.
-    """
-    if fits_one_task(df) or longest_symbol(df) <= max_symbol_rows:
-        return None
-    return SEGMENT_ROWS
+def full_order(df: DataFrame) -> list[str]:
+    """Time, then every other column that has an order, by name."""
+    orderable = [c for c, t in df.dtypes if not t.startswith(("map", "variant")) and c not in ("symbol", "open_time")]
+    return ["open_time", *sorted(orderable)]
 
 
 def _segments(
-    df: DataFrame, lookback: int, lookahead: int, segment_rows: int, bar_ms: int
+    df: DataFrame, lookback: int, lookahead: int, segment_rows: int, bar_ms: int, order: list[str]
 ) -> Series:
     if max(lookback, lookahead) > segment_rows:
         raise ValueError("a segment must be at least as long as its margins")
@@ -92,20 +82,21 @@ def _segments(
     bucket_us = bar_ms * 1000 * segment_rows
     no_time = F.lit(-(2**40))
     df = df.withColumn("_bucket", F.coalesce(int_div(to_us("open_time"), bucket_us), no_time))
-    before = (
-        Window.partitionBy("symbol").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # A struct is never NULL itself, so bars without a symbol join plainly.
+    df = df.withColumn("_of", F.struct("symbol"))
+    before = Window.partitionBy("_of").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        df.groupBy("symbol", "_bucket")
+        df.groupBy("_of", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("symbol", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select("_of", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
         # Else the bars would follow this small side's layout, which is by symbol alone.
-        .repartition("symbol", "_bucket")
+        .repartition("_of", "_bucket")
     )
-    in_bucket = Window.partitionBy("symbol", "_bucket").orderBy("open_time")
-    row = F.coalesce("_start", F.lit(0)) + F.row_number().over(in_bucket) - 1
+    # By symbol as well, so that a filter on it passes the window.
+    in_bucket = Window.partitionBy("symbol", "_of", "_bucket").orderBy(*order)
+    row = F.col("_start") + F.row_number().over(in_bucket) - 1
     # The row number's window needs the same distribution as this join: one shuffle for both.
-    df = df.join(starts, ["symbol", "_bucket"], "left").withColumn(_ROW, row)
+    df = df.join(starts, ["_of", "_bucket"]).withColumn(_ROW, row)
     own = int_div(_ROW, segment_rows)
     offset = F.col(_ROW) - own * segment_rows
     copies = F.filter(
@@ -118,7 +109,7 @@ def _segments(
     )
     df = df.withColumn("_own_segment", own).withColumn(_SEGMENT, F.explode(copies))
     df = df.withColumn(_OWN, F.col(_SEGMENT) == F.col("_own_segment"))
-    return Series(df.drop("_bucket", "_start", "_own_segment"), ["symbol", _SEGMENT], [_ROW])
+    return Series(df.drop("_of", "_bucket", "_start", "_own_segment"), ["symbol", _SEGMENT], [_ROW])
 
 
 def over_series(
@@ -126,19 +117,21 @@ def over_series(
     build: Callable[[Series], Series],
     lookback: int,
     lookahead: int = 0,
-    segment_rows: int | str | None = "auto",
+    segment_rows: int | None = SEGMENT_ROWS,
     bar_ms: int = MINUTE_MS,
+    tie_break: list[str] | None = None,
 ) -> DataFrame:
     """Apply ``build`` to the bars of every symbol and drop the helper columns.
 
     ``lookback`` and ``lookahead`` are the rows a result may depend on besides its own.
+    ``tie_break`` orders bars of one instant, by default all columns, which therefore are all read;
+    for bars that are unique, ``[]`` keeps the scan to the columns that are used.
     """
     require_columns(bars, ["symbol", "open_time"], "bar table")
-    if segment_rows == "auto":
-        segment_rows = choose_segment_rows(bars)
+    order = full_order(bars) if tie_break is None else ["open_time", *tie_break]
     if segment_rows is None:
-        built = build(Series(bars, ["symbol"])).df
+        built = build(Series(bars, ["symbol"], order)).df
     else:
-        built = build(_segments(bars, lookback, lookahead, int(segment_rows), bar_ms)).df
+        built = build(_segments(bars, lookback, lookahead, segment_rows, bar_ms, order)).df
         built = built.filter(_OWN)
     return built.drop(_POS, _SEGMENT, _OWN, _ROW, "_block", "_k")

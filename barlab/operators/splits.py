@@ -18,7 +18,7 @@ def split_boundaries(
     table: DataFrame,
     train_fraction: float = TRAIN_FRACTION,
     val_fraction: float = VALIDATION_FRACTION,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """The times at which train and validation end: one row, ``train_end`` and ``val_end``.
 

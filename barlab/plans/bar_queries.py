@@ -120,6 +120,42 @@ def catalog_table(spark, d):
     return emit(out, "symbol", "n", volume=4)
 
 
+_RAW_OUT = f"""symbol, {q.big('epoch_ms(open_time)', 'open_ms')}, {q.r('close', 6)}, {q.r('volume', 6)},
+    {q.big('number_of_trades')}"""
+
+
+def _raw_folder(spark, d) -> str:
+    """Daily bars as raw files below the documented layout: a file per symbol and month."""
+    root = scratch_dir(spark, "raw")
+    rows = sinks.raw_rows(fx.daily(spark, d))
+    sinks.write_raw(rows, root)
+    return root
+
+
+def _emit_scanned(bars):
+    return emit(bars, "symbol", "open_time", "number_of_trades", close=6, volume=6)
+
+
+@query("scan_raw_csv", f"WITH {q.LINE_BARS} SELECT {_RAW_OUT} FROM bars")
+def scan_raw_csv(spark, d):
+    return _emit_scanned(raw.read_raw_bars(spark, _raw_folder(spark, d)))
+
+
+@query(
+    "scan_raw_symbols",
+    f"WITH {q.LINE_BARS} SELECT {_RAW_OUT} FROM bars WHERE symbol IN ('S1USDT', 'S3USDT', 'S8USDT')",
+)
+def scan_raw_symbols(spark, d):
+    symbols = ["S1USDT", "S3USDT", "S8USDT", "NONEUSDT"]
+    return _emit_scanned(raw.read_raw_bars(spark, _raw_folder(spark, d), symbols))
+
+
+@query("scan_raw_tree", f"WITH {q.LINE_BARS} SELECT symbol, count(*) AS n FROM bars GROUP BY 1")
+def scan_raw_tree(spark, d):
+    rows = raw.scan_raw_tree(spark, f"{_raw_folder(spark, d)}/spot")
+    return rows.groupBy("symbol").agg(F.count("*").alias("n"))
+
+
 # --- cleaning -----------------------------------------------------------------------------
 
 

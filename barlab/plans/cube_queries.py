@@ -112,8 +112,8 @@ def cohort_medians(spark, d):
     return emit(cube.cohort_medians(_flagged(spark, d)), "in_cohort", **rounded(_MEDIANS, 6))
 
 
-_TIER = """CASE WHEN in_top THEN 'top-20 sample' WHEN in_cohort THEN '210 cohort (rest)'
-  ELSE 'other symbols' END AS tier"""
+_TIER = """CASE WHEN in_top THEN 'listed' WHEN in_cohort THEN 'full history'
+  ELSE 'other' END AS tier"""
 
 
 @query("tier_of_symbol", f"{_FLAGGED} SELECT symbol, in_top, in_cohort, {_TIER} FROM flagged")

@@ -121,7 +121,7 @@ def target_correlation(spark, d):
 
 
 _HIST = _each(
-    ["rsi_14", "taker_buy_ratio", "volatility_30"],
+    FEATURE_COLUMNS,
     "coalesce(least(floor(({c} - lo_{c}) * 50 / nullif(hi_{c} - lo_{c}, 0))::BIGINT, 49), 0) AS bin,"
     " count(*) AS n",
     "x",
@@ -134,13 +134,13 @@ _HIST = _each(
     f"{_FEAT}, x AS (SELECT *, "
     + ", ".join(
         f"min({c}) OVER () AS lo_{c}, max({c}) OVER () AS hi_{c}"
-        for c in ["rsi_14", "taker_buy_ratio", "volatility_30"]
+        for c in FEATURE_COLUMNS
     )
     + f" FROM f) {_HIST}",
 )
 def feature_histogram(spark, d):
-    columns = ["rsi_14", "taker_buy_ratio", "volatility_30"]
-    return emit(eda.feature_histogram(_features(spark, d), columns), "feature", "bin", "n")
+    table = eda.feature_histogram(_features(spark, d), FEATURE_COLUMNS)
+    return emit(table, "feature", "bin", "n")
 
 
 _FIVE = (

@@ -193,7 +193,7 @@ def drop_warmup(spark, d):
     return emit(kept, "symbol", "open_time", **rounded(FEATURE_COLUMNS, 5))
 
 
-_SLIM = ["rsi_14", "log_return", "taker_buy_ratio", "hour_sin"]
+_SLIM = FEATURE_COLUMNS
 
 
 @query(
@@ -228,7 +228,7 @@ def labelled_features(spark, d):
     return emit(out, "symbol", "open_time", "target", future_return=6, **digits)
 
 
-_SEQ = ["rsi_14", "log_return", "taker_buy_ratio", "hour_sin"]
+_SEQ = FEATURE_COLUMNS
 
 
 @query(
@@ -240,8 +240,8 @@ _SEQ = ["rsi_14", "log_return", "taker_buy_ratio", "hour_sin"]
     + f" FROM labelled, st), w AS (SELECT *, list([{', '.join(_SEQ)}]) OVER {q.frame(60)} AS s, "
     f"count(*) OVER {q.frame(60)} AS n FROM z) "
     f"SELECT {KEY}, {q.big('target')}, len(s) AS seq_len, "
-    f"{q.r('s[1][1]::DOUBLE', 3, 'first_value')}, {q.r('s[60][4]::DOUBLE', 3, 'last_value')}, "
-    f"{q.r('list_sum(list_transform(flatten(s), lambda x: x::DOUBLE))', 2, 'total')} "
+    f"{q.r('s[1][1]::DOUBLE', 3, 'first_value')}, {q.r('s[60][16]::DOUBLE', 3, 'last_value')}, "
+    f"{q.r('list_sum(list_transform(flatten(s), lambda x: x::DOUBLE))', 1, 'total')} "
     "FROM w WHERE n = 60",
 )
 def sequence_windows(spark, d):
@@ -255,26 +255,26 @@ def sequence_windows(spark, d):
         "target",
         F.size("sequence").alias("seq_len"),
         F.col("sequence")[0][0].alias("first_value"),
-        F.col("sequence")[59][3].alias("last_value"),
+        F.col("sequence")[59][15].alias("last_value"),
         total.alias("total"),
     )
     return emit(
-        out, "symbol", "open_time", "target", "seq_len", first_value=3, last_value=3, total=2
+        out, "symbol", "open_time", "target", "seq_len", first_value=3, last_value=3, total=1
     )
 
 
 @query(
     "feature_parity",
-    f"""{EV}, n AS (SELECT count(*) AS matched FROM bars)
-    SELECT unnest(['rsi_14', 'ema_50', 'volume_z30']) AS feature, matched, 0::BIGINT AS unmatched,
-    0::BIGINT AS null_mismatches, TRUE AS within_tolerance FROM n""",
+    f"""WITH {q.event_bars('minute')}, n AS (SELECT count(*) AS matched FROM bars)
+    SELECT unnest(['rsi_14', 'ema_50', 'volume_z30', 'macd_signal']) AS feature, matched,
+    0::BIGINT AS unmatched, 0::BIGINT AS null_mismatches, TRUE AS within_tolerance FROM n""",
 )
 def feature_parity(spark, d):
-    """The two window layouts agree: a task per symbol against segments of 2000 rows."""
-    bars = fx.hourly(spark, d)
-    columns = ["rsi_14", "ema_50", "volume_z30"]
+    """Minute bars cut into segments of 1300 rows against a task per symbol."""
+    bars = fx.bars_from_events(spark, d, "minute")
+    columns = ["rsi_14", "ema_50", "volume_z30", "macd_signal"]
     whole = features.feature_matrix(bars, segment_rows=None)
-    cut = features.feature_matrix(bars, segment_rows=2000, **HOURS)
+    cut = features.feature_matrix(bars, segment_rows=1300)
     table = features.feature_parity(whole, cut, columns)
     return table.select(
         "feature",
@@ -285,6 +285,33 @@ def feature_parity(spark, d):
     )
 
 
+_HOLES = f"""holes AS (SELECT * REPLACE (CASE WHEN hour(open_time) % 5 > 0 THEN close END AS close) FROM bars),
+l AS (SELECT symbol, open_time, close, list(close) OVER ({q.W}) AS x FROM holes),
+p AS (SELECT *, list_position(list_transform(x, lambda v: v IS NOT NULL), TRUE) AS f FROM l)"""
+
+
+def _ema_of_present(span: int) -> str:
+    """Decayed values over decayed weights; the first value has the whole weight."""
+    a = f"(2::DOUBLE / {span + 1})"
+    weight = f"pow(1 - {a}, len(x) - i) * CASE WHEN i = f THEN 1::DOUBLE ELSE {a} END"
+    over = lambda v: f"list_sum(list_transform(x, lambda v, i: CASE WHEN v IS NOT NULL THEN {v} END))"
+    return f"CASE WHEN close IS NOT NULL THEN {over('v * ' + weight)} / {over(weight)} END"
+
+
+@query(
+    "ema_nulls",
+    f"{EV}, {_HOLES} SELECT {KEY}, {q.r(_ema_of_present(15), 4, 'ema_15')}, "
+    f"{q.r(_ema_of_present(50), 4, 'ema_50')} FROM p",
+)
+def ema_nulls(spark, d):
+    """Averages of a price that is missing every fifth hour, in half of these cases as NaN."""
+    bars = fx.hourly(spark, d)
+    hour = F.hour("open_time")
+    missing = F.when(hour % 10 == 0, F.lit(float("nan")))
+    holes = bars.withColumn("close", F.when(hour % 5 > 0, F.col("close")).otherwise(missing))
+    return emit(ema.ema(holes, (15, 50), **HOURS), "symbol", "open_time", ema_15=4, ema_50=4)
+
+
 _LABELLED_BARS = f"{EV}, {q.LABELS.format(source='bars')}, l AS (SELECT * FROM lab WHERE target IS NOT NULL)"
 _SPLIT = f"{_LABELLED_BARS}, {q.BOUNDS.format(source='l')}, {q.SPLIT.format(source='l')}"
 

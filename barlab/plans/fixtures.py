@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barlab.functions.timestamps import to_ms, to_us
 from barlab.operators import features, metrics
 from barlab.schema import DAY_MS
-from barlab.session import scratch_dir
+from barlab.session import materialize, scratch_dir
 from barlab.sources.adapters import bars_from_events, bars_from_lineitem, read_table
 from barlab.sources.sinks import write_bars
 from barlab.sources.tables import load_bars
@@ -60,7 +60,8 @@ def raw_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
-    return features.labelled_features(hourly(spark, d), bar_ms=HOUR_MS)
+    """Features and labels as a stored table: what reads it takes several passes."""
+    return materialize(features.labelled_features(hourly(spark, d), bar_ms=HOUR_MS), "labelled")
 
 
 def every_model(spark: SparkSession, d: str) -> DataFrame:

@@ -68,6 +68,26 @@ def best_and_worst_symbol(spark, d):
     return emit(table, "best_symbol", "worst_symbol", best_f1=8, worst_f1=8)
 
 
+_GAPPED = "gapped AS (SELECT * FROM preds WHERE hour(open_time) % 6 > 1)"
+
+
+@query(
+    "evaluate_missing_scores",
+    f"{BASE}, {_GAPPED}, {q.evaluation('gapped', [])} SELECT {q.METRIC_OUT}, "
+    "(SELECT count(*) FROM preds WHERE hour(open_time) % 6 <= 1) AS unscored FROM evaluated",
+)
+def evaluate_missing_scores(spark, d):
+    """A third of the rows has no score, a NaN or no truth; they are counted, not scored."""
+    table = fx.predictions(spark, d)
+    hour = F.hour("open_time") % 6
+    up = F.col("y_true") == 1
+    score = F.when((hour == 1) & up, F.lit(float("nan"))).when(hour > 0, F.col("y_prob"))
+    truth = F.when((hour != 1) | up, F.col("y_true"))
+    table = table.withColumns({"y_prob": score, "y_true": truth})
+    both = metrics.evaluate(table).join(metrics.unscored(table))
+    return emit(both, *COUNTS, "unscored", **rounded(ALL, 8))
+
+
 _BINS = ["regime", "min_val", "max_val"]
 
 

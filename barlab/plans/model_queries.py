@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barlab.functions.timestamps import to_ms
@@ -11,7 +12,7 @@ from barlab.operators import metrics, splits
 from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
-from barlab.schema import FEATURE_COLUMNS
+from barlab.schema import FEATURE_COLUMNS, threshold_grid
 from barlab.session import materialize, scratch_dir
 from barlab.sources import sinks
 
@@ -19,7 +20,6 @@ _PARTS = (
     f"WITH {q.event_bars()}, {q.labelled()}, {q.BOUNDS.format(source='labelled')}, "
     f"{q.SPLIT.format(source='labelled')}"
 )
-_SEQ_FEATURES = ["rsi_14", "log_return", "taker_buy_ratio", "bb_position"]
 
 
 def _split_table(spark, d):
@@ -100,16 +100,16 @@ def ols_baseline(spark, d):
 @query(
     "scaled_features",
     f"{_PARTS}, st AS (SELECT "
-    + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _SEQ_FEATURES)
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURE_COLUMNS)
     + " FROM parts WHERE split = 'train'), z AS (SELECT symbol, open_time, "
-    + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in _SEQ_FEATURES)
+    + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in FEATURE_COLUMNS)
     + f" FROM parts, st WHERE split = 'val') SELECT symbol, {q.OPEN_MS}, "
-    f"{q.rs(_SEQ_FEATURES, 6)} FROM z",
+    f"{q.rs(FEATURE_COLUMNS, 5)} FROM z",
 )
 def scaled_features(spark, d):
     train, val, _ = _parts(spark, d)
-    out = pipeline.scaled_features(train, val, _SEQ_FEATURES)
-    return emit(out, "symbol", "open_time", **rounded(_SEQ_FEATURES, 6))
+    out = pipeline.scaled_features(train, val, FEATURE_COLUMNS)
+    return emit(out, "symbol", "open_time", **rounded(FEATURE_COLUMNS, 5))
 
 
 def _single(spark, d, name, estimator):
@@ -177,7 +177,7 @@ def save_model(spark, d):
 @query("sequence_classifier")
 def sequence_classifier(spark, d):
     train, val, _ = _parts(spark, d)
-    fitted = sequence.fit_sequence_classifier(train, val, rows=30, hidden=16)
+    fitted = sequence.fit_sequence_classifier(train, val)
     return spark.createDataFrame(
         [(fitted.rows, fitted.hidden, fitted.cutoff, fitted.balanced_accuracy)],
         "seq_len int, hidden int, cutoff double, balanced_accuracy double",
@@ -187,9 +187,97 @@ def sequence_classifier(spark, d):
 @query("config_sweep")
 def config_sweep(spark, d):
     train, val, _ = _parts(spark, d)
-    configs = [
-        {"name": "base", "seq_len": 20, "hidden": 16},
-        {"name": "short", "seq_len": 10, "hidden": 16},
-        {"name": "wide", "seq_len": 20, "hidden": 32},
+    # A window longer than the validation rows of every symbol has nothing to be tuned on.
+    longest = val.groupBy("symbol").count().agg(F.max("count")).first()[0]
+    configs = [c for c in sequence.SWEEP if c["seq_len"] <= longest]
+    return sequence.config_sweep(train, val, configs)[0]
+
+
+_ROWS_OF = "(SELECT count(*) FROM parts WHERE split = '{}')"
+
+
+@query(
+    "save_model_roundtrip",
+    f"{_PARTS} SELECT {_ROWS_OF.format('test')} AS rows, 0::BIGINT AS different",
+)
+def save_model_roundtrip(spark, d):
+    """Rows scored by a fitted pipeline, and those that the saved and loaded one scores otherwise."""
+    train, _, test = _parts(spark, d)
+    stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.logistic()]
+    fitted, path = Pipeline(stages=stages).fit(train), scratch_dir(spark, "model")
+    sinks.save_model(fitted, path)
+    loaded = sinks.load_or_train(spark, path, lambda: fitted)
+    keys = ["symbol", "open_time"]
+    ours = pipeline.score(fitted, test).select(*keys, "y_prob", "y_pred")
+    theirs = pipeline.score(loaded, test).select(*keys, F.struct("y_prob", "y_pred").alias("t"))
+    same = F.struct("y_prob", "y_pred") == F.col("t")
+    both = ours.join(theirs, keys, "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("different")
+    )
+
+
+@query(
+    "ols_residuals",
+    f"SELECT unnest({[*FEATURE_COLUMNS, 'intercept']}) AS feature, TRUE AS orthogonal",
+)
+def ols_residuals(spark, d):
+    """Least squares leaves residuals without correlation with any feature, checked on the data.
+
+    The MACD histogram is the line less the signal, so it is left out of the fit and still tested.
+    """
+    train, _, _ = _parts(spark, d)
+    fitted = baselines.fit_return_model(train, [c for c in FEATURE_COLUMNS if c != "macd_hist_norm"])
+    scored = fitted.predict_return(train)
+    rest = F.col("future_return") - F.col("predicted_return")
+    columns = {**{c: F.col(c) for c in FEATURE_COLUMNS}, "intercept": F.lit(1.0)}
+    cells = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            (F.abs(F.sum(rest * x)) <= 1e-6 * F.sqrt(F.sum(rest * rest) * F.sum(x * x))).alias("orthogonal"),
+        )
+        for name, x in columns.items()
     ]
-    return sequence.config_sweep(train, val, configs, _SEQ_FEATURES)[0]
+    return scored.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+@query(
+    "logistic_gradient",
+    f"SELECT unnest({FEATURE_COLUMNS}) AS feature, TRUE AS stationary",
+)
+def logistic_gradient(spark, d):
+    """The penalized gradient of the logistic fit is zero in every scaled feature."""
+    train, _, _ = _parts(spark, d)
+    estimator = pipeline.logistic()
+    fitted = Pipeline(stages=[*pipeline.scaling_stages(FEATURE_COLUMNS), estimator]).fit(train)
+    weights, penalty = fitted.stages[-1].coefficients, estimator.getRegParam()
+    scored = fitted.transform(train)
+    x = vector_to_array(estimator.getFeaturesCol())
+    gap = vector_to_array("probability")[1] - F.col(estimator.getLabelCol())
+    cells = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            (F.abs(F.avg(gap * x[i]) + F.lit(penalty * float(weights[i]))) <= 1e-3).alias("stationary"),
+        )
+        for i, name in enumerate(FEATURE_COLUMNS)
+    ]
+    return scored.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+@query(
+    "train_pipeline_counts",
+    f"{_PARTS} SELECT unnest(['{pipeline.LOGISTIC}', '{pipeline.FOREST}']) AS model, "
+    f"{_ROWS_OF.format('val')} AS rows, TRUE AS adds_up, TRUE AS cutoff_in_grid",
+)
+def train_pipeline_counts(spark, d):
+    """Each model is judged on every validation row, and its cutoff is one of the grid's."""
+    train, val, _ = _parts(spark, d)
+    trained = pipeline.train_pipeline(train, val)
+    cutoffs = spark.createDataFrame(list(trained.cutoffs.items()), "model string, cutoff double")
+    total = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    return trained.metrics.join(cutoffs, "model").select(
+        "model",
+        F.col("count").cast("long").alias("rows"),
+        (total == F.col("count")).alias("adds_up"),
+        F.col("cutoff").isin(threshold_grid()).alias("cutoff_in_grid"),
+    )

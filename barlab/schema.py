@@ -84,7 +84,6 @@ LOG_LOSS_CLIP = 1e-15
 FULL_WINDOW_START = "2023-06-01 00:00:00"
 FULL_WINDOW_END = "2026-06-01 00:00:00"
 FULL_WINDOW_ROWS = 1_578_240
-SPLIT_DATES = ("2024-01-01", "2024-07-01")
 
 
 def threshold_grid(low: float = 0.40, high: float = 0.605, step: float = 0.005) -> list[float]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,8 +22,12 @@ ENGINE_SETTINGS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and the bench; a cluster brings its own."""
+    """A single-machine session for tests and the bench; a cluster brings its own.
+
+    Its shared folder is one of this process, removed when the process ends.
+    """
     builder = SparkSession.builder.master(f"local[{cores}]").appName("barlab")
+    builder = builder.config("spark.checkpoint.dir", _own_folder())
     for key, value in ENGINE_SETTINGS.items():
         builder = builder.config(key, value)
     spark = (
@@ -43,7 +49,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 @functools.cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="barlab-")
+    folder = tempfile.mkdtemp(prefix="barlab-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -14,6 +14,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packed(*parts: tuple[Column, int]) -> Column:
+    """Whole numbers in lexicographic order as one decimal of fixed width.
+
+    Each part is not negative and has at most so many digits, 38 in all.
+    """
+    order = F.lit(0).cast("decimal(38,0)")
+    for value, digits in parts:
+        order = order * F.lit("1" + "0" * digits).cast(f"decimal({digits + 1},0)") + value.cast("decimal(38,0)")
+    return order
+
+
 def bars_from_ticks(
     ticks: DataFrame,
     price: Column,
@@ -26,8 +37,12 @@ def bars_from_ticks(
 ) -> DataFrame:
     """OHLCV bars per (symbol, opening time) from a table with a ``symbol`` column.
 
-    ``order`` ranks the ticks of a bar; the first and last give open and close.
+    ``order`` ranks the ticks of a bar; the first and last give open and close. It is one number
+    of fixed width, not a struct, so that bars are hash-aggregated without a sort of the ticks.
+    Ticks whose price or volume is NaN are left out.
     """
+    number = lambda c: ~F.coalesce(F.isnan(c), F.lit(False))
+    ticks = ticks.filter(number(price) & number(volume))
     on_taker = lambda c: F.sum(F.when(taker, c).otherwise(0.0))
     close_time = F.col("open_time") + F.expr(f"INTERVAL '{bar_ms // 1000}' SECOND")
     return (
@@ -62,7 +77,7 @@ def bars_from_events(
         volume=value,
         quote=value * value,
         taker=F.col("event_id") % 2 == 0,
-        order=F.struct("ts", "event_id"),
+        order=packed((F.unix_micros(F.col("ts").cast("timestamp")), 18), (F.col("event_id"), 19)),
         opened=F.date_trunc(unit, F.col("ts").cast("timestamp")),
         bar_ms=UNIT_MS[unit],
     )
@@ -74,14 +89,16 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate",
     )
-    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    # All lines of a bar have one supplier; prices are in cents.
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    key = [(F.col("l_orderkey"), 13), (F.col("l_linenumber"), 1), (F.col("l_partkey"), 12), (cents, 11)]
     return bars_from_ticks(
         lines.withColumn("symbol", F.concat(F.lit("S"), F.col("l_suppkey"), F.lit("USDT"))),
         price=F.try_divide("l_extendedprice", "l_quantity"),
         volume=F.col("l_quantity"),
         quote=F.col("l_extendedprice"),
         taker=F.col("l_returnflag") == "A",
-        order=F.struct(*key),
+        order=packed(*key),
         opened=F.col("l_shipdate").cast("timestamp"),
         bar_ms=DAY_MS,
     )

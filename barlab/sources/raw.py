@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
-from barlab.operators.clean import canonical_bars
+from barlab.operators.clean import canonical_bars, drop_nan_prices
 from barlab.schema import RAW_BAR_SCHEMA
 
 # The symbol is what stands between the last separator and the interval (fixed pattern).
@@ -26,15 +26,18 @@ def symbol_globs(root: str, symbols: list[str] | None = None) -> list[str]:
     return [f"{base}/{s}/1m/*.csv" for s in symbols]
 
 
-def _existing(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """The patterns that match a file, on whatever file system they name."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found = []
-    for pattern in patterns:
-        path = jvm.org.apache.hadoop.fs.Path(pattern)
-        if path.getFileSystem(conf).globStatus(path):
-            found.append(pattern)
-    return found
+def _folders(spark: SparkSession, root: str, symbols: list[str] | None) -> list[str]:
+    """Symbol folders below the root on whatever file system it names; one listing call.
+
+    The files in them are listed by Spark alone, in parallel where there are many.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/spot/monthly/klines")
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(base):
+        return []
+    names = [str(f.getPath().getName()) for f in files.listStatus(base) if f.isDirectory()]
+    wanted = names if symbols is None else sorted(set(symbols) & set(names))
+    return [f"{base.toString()}/{name}/1m" for name in wanted]
 
 
 def _with_symbol(reader_result: DataFrame) -> DataFrame:
@@ -47,10 +50,13 @@ def scan_raw_csv(spark: SparkSession, root: str, symbols: list[str] | None = Non
     The schema is explicit, so no pass over the files infers it, and a symbol list prunes
     directories before any file is listed.
     """
-    paths = _existing(spark, symbol_globs(root, symbols))
-    if not paths:
+    folders = _folders(spark, root, symbols)
+    if not folders:
         raise DataValidationError(f"no raw bar files under {root}")
-    return _with_symbol(spark.read.schema(RAW_BAR_SCHEMA).csv(paths, header=False))
+    base = f"{root.rstrip('/')}/spot/monthly/klines"
+    paths = [f"{base}/*/1m"] if symbols is None else folders
+    reader = spark.read.schema(RAW_BAR_SCHEMA).option("pathGlobFilter", "*.csv")
+    return _with_symbol(reader.csv(paths, header=False))
 
 
 def scan_raw_tree(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
@@ -60,5 +66,5 @@ def scan_raw_tree(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
 
 
 def read_raw_bars(spark: SparkSession, root: str, symbols: list[str] | None = None) -> DataFrame:
-    """Raw files straight to canonical bars."""
-    return canonical_bars(scan_raw_csv(spark, root, symbols))
+    """Raw files straight to canonical bars, without rows that have a NaN price or volume."""
+    return drop_nan_prices(canonical_bars(scan_raw_csv(spark, root, symbols)))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,27 @@ def raw_rows(bars: DataFrame) -> DataFrame:
     return bars.select("symbol", *out, F.lit(0.0).alias("_c11"))
 
 
+def write_raw(rows: DataFrame, root: str) -> None:
+    """Rows of ``raw_rows`` as headerless files below ``<root>/spot/monthly/klines``.
+
+    Spark names the files of a partitioned write itself, so they are written to ``<root>/staging``
+    and then moved to the raw layout: one rename per file, no second copy of the rows.
+    """
+    spark, top = rows.sparkSession, spark_path(root).rstrip("/")
+    named = rows.withColumn("_of", F.col("symbol")).drop("symbol")
+    named.repartition("_of").sortWithinPartitions("_of", "_c0").write.partitionBy("_of").csv(f"{top}/staging")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files = path_of(top).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(path_of(f"{top}/staging")):
+        name = str(folder.getPath().getName())
+        if name.startswith("_of="):
+            symbol = name[len("_of=") :]
+            to = f"{top}/spot/monthly/klines/{symbol}/1m"
+            files.mkdirs(path_of(to))
+            for k, part in enumerate(files.listStatus(folder.getPath())):
+                files.rename(part.getPath(), path_of(f"{to}/{symbol}-1m-{k:05d}.csv"))
+
+
 def write_text(lines: DataFrame, path: str) -> None:
     """A one-column table of report lines, in its own order, as one text file.
 
@@ -77,7 +100,9 @@ def load_or_train(
     if path_exists(spark, f"{path}/metadata/_SUCCESS"):
         try:
             return load_model(path)
-        except Exception:  # an incomplete save; anything else recurs when saving
-            pass
+        except (AnalysisException, Py4JJavaError) as error:
+            # A stage that is not there means a save cut short; all else is the caller's to see.
+            if not any(w in str(error) for w in ("does not exist", "FileNotFound", "PATH_NOT_FOUND")):
+                raise
     save_model(train(), path)
     return load_model(path)

@@ -41,7 +41,11 @@ def read_or_compute(
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Make an existing parquet folder a table of the session catalog."""
+    """Make an existing parquet folder a table of the session catalog.
+
+    A table of that name at another place gives way; its files stay, as it was external.
+    """
     quoted = spark_path(path).replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{quoted}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{quoted}'")
     return spark.table(name)

@@ -150,7 +150,7 @@ def test_tier_order(spark):
         [("A", True), ("B", True), ("C", False)], "symbol string, in_cohort boolean"
     )
     tiers = {r["symbol"]: r["tier"] for r in clean.with_tier(table, ["A"]).collect()}
-    assert tiers == {"A": "top-20 sample", "B": "210 cohort (rest)", "C": "other symbols"}
+    assert tiers == {"A": "listed", "B": "full history", "C": "other"}
 
 
 def test_written_bars_are_ordered_and_prune(spark, raw_root, tmp_path):

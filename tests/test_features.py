@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
 from barlab.operators import ema, features, rolling, sequences
-from barlab.operators.series import SEGMENT_ROWS, choose_segment_rows, over_series
+from barlab.operators.series import over_series
 from barlab.schema import FEATURE_COLUMNS, INDICATOR_COLUMNS
 from tests.conftest import minute_bars
 
@@ -215,17 +215,48 @@ def test_sequences_in_segments(walk):
     assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
 
 
-def test_layout_choice(spark, walk):
-    frame, table = walk
-    stored = table.limit(100)
-    assert choose_segment_rows(stored, max_symbol_rows=10) in (None, SEGMENT_ROWS)
-    big = table.withColumn("pad", F.lit(1))
-    import barlab.operators.series as series
-
-    original = series.fits_one_task
-    series.fits_one_task = lambda *_: False
-    try:
-        assert choose_segment_rows(big, max_symbol_rows=len(frame)) is None
-        assert choose_segment_rows(big, max_symbol_rows=100) == SEGMENT_ROWS
-    finally:
-        series.fits_one_task = original
+def test_bars_without_a_symbol_are_one_series_in_any_layout(spark):
+    frame = minute_bars("X", 100 + np.sin(np.arange(400)))
+    frame["symbol"] = None
+    table = spark.createDataFrame(frame, "open_time timestamp, open double, high double, low double, close double, "
+        "volume double, close_time timestamp, quote_asset_volume double, number_of_trades int, "
+        "taker_buy_base_asset_volume double, taker_buy_quote_asset_volume double, symbol string")
+    whole = rolling.sma(table, (5,), segment_rows=None).select("open_time", "sma_5")
+    for rows in (50, 250_000):
+        cut = rolling.sma(table, (5,), segment_rows=rows).select("open_time", "sma_5")
+        assert cut.count() == 400 and cut.exceptAll(whole).count() == 0
+
+
+def test_copies_of_one_instant_give_the_same_values_under_any_partitioning(spark):
+    frame = minute_bars("X", 100 + np.cumsum(np.random.default_rng(2).normal(size=400)))
+    frame["open_time"] = frame["open_time"].iloc[np.arange(400) // 4].to_numpy()
+    table = spark.createDataFrame(frame)
+    for rows in (None, 40, 250_000):
+        sums = {
+            rolling.log_returns(table.repartition(n), segment_rows=rows)
+            .agg(F.round(F.sum(F.abs("log_return")), 9))
+            .first()[0]
+            for n in (1, 3, 7)
+        }
+        assert len(sums) == 1
+
+
+def test_averages_pass_over_missing_values(spark):
+    closes = np.full(3000, 100.0)
+    frame = minute_bars("X", closes)
+    frame.loc[::5, "close"] = np.nan
+    out = ema.ema(spark.createDataFrame(frame), (15, 50)).toPandas().sort_values("open_time")
+    there = np.arange(3000) % 5 > 0
+    for c in ("ema_15", "ema_50"):
+        assert np.allclose(out[c].to_numpy()[there], 100.0) and np.isnan(out[c].to_numpy()[~there]).all()
+    rng = np.random.default_rng(4)
+    frame["close"] = np.where(rng.uniform(size=3000) < 0.3, np.nan, rng.uniform(50, 60, 3000))
+    out = ema.ema(spark.createDataFrame(frame), (9,)).toPandas().sort_values("open_time")
+    a, weight, total, want = 0.2, 0.0, 0.0, []
+    for x in frame["close"]:
+        weight, total = weight * (1 - a), total * (1 - a)
+        if not np.isnan(x):
+            share = a if weight else 1.0
+            weight, total = weight + share, total + share * x
+        want.append(total / weight if weight and not np.isnan(x) else np.nan)
+    assert np.allclose(out["ema_9"], want, equal_nan=True)

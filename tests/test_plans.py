@@ -14,7 +14,7 @@ def plan(df):
 
 
 def test_features_take_one_shuffle_and_no_python(spark):
-    text = plan(features.feature_matrix(fx.read_bars_table(spark, D), bar_ms=DAY_MS))
+    text = plan(features.feature_matrix(fx.read_bars_table(spark, D), segment_rows=None))
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 2
     assert "Python" not in text
 
@@ -37,7 +37,7 @@ def test_segments_shuffle_the_bars_twice(spark):
 
 def test_rolling_values_read_only_their_columns(spark):
     bars = fx.read_bars_table(spark, D)
-    text = plan(rolling.sma(bars).select("symbol", "open_time", "sma_15"))
+    text = plan(rolling.sma(bars, tie_break=[]).select("symbol", "open_time", "sma_15"))
     assert "ReadSchema: struct<open_time:timestamp,close:double,symbol:string>" in text
 
 
@@ -46,6 +46,24 @@ def test_symbol_filter_reaches_the_scan_through_windows(spark):
     assert "EqualTo(symbol,S1USDT)" in plan(out.filter("symbol = 'S1USDT'"))
 
 
+def test_bars_are_hash_aggregated(spark):
+    for name in ("bars_from_lineitem", "bars_from_events"):
+        text = plan(entry_points.queries()[name](spark, D))
+        assert "SortAggregate" not in text and "HashAggregate" in text, name
+
+
+def test_planning_a_window_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    bars = fx.read_bars_table(spark, D)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        features.feature_matrix(bars, bar_ms=DAY_MS)
+        metrics.evaluate(metrics.with_direction(bars.selectExpr("1 AS y_true", "close AS y_prob")))
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_profile_and_cube_scan_once(spark):
     bars = fx.read_bars_table(spark, D)
     text = plan(profile.profile_symbols(bars))
