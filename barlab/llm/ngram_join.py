@@ -17,7 +17,8 @@ least.
    leaves it only if it may reach the similarity: by size, by the places of the token (a pair's
    first common token lies early in both sets), and by bitmaps in which every token of a set flips
    one of ``BITS`` bits, so that two bitmaps never differ in more bits than the sets in tokens.
-5. ``verify``: the surviving partners of a document are stored as ordered sets in a trie (sorted,
+5. ``verify``: pairs whose bitmaps of full width still leave the similarity possible are verified;
+   the partners of a document are stored as ordered sets in a trie (sorted,
    so that neighbours share their path). Its traversal takes over the partial overlap of the shared
    path and leaves a subtree once the remaining lengths cannot reach the required overlap.
 
@@ -132,17 +133,55 @@ def _profiles(n: int, lower: bool, percent: int, frequent: np.ndarray):
     return profile
 
 
+def wide_bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap with two bits per token or more, a power of two in all."""
+    bits = max(BITS, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Bits in which two wide bitmaps differ; the wider one is folded onto the other."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+
+
 def _sets(n: int, lower: bool, frequent: np.ndarray):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [s.astype(">u8").tobytes() for s in _ordered_sets(b.column(1), n, lower, frequent)]
+            sets, sizes, maps = [], [], []
+            for s in _ordered_sets(b.column(1), n, lower, frequent):
+                sets.append(s.astype(">u8").tobytes())
+                sizes.append(len(s))
+                maps.append(wide_bitmap(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sets, pa.binary())], names=["doc_id", "tokens"]
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.array(sets, pa.binary())],
+                names=["doc_id", "n", "bitmap", "tokens"],
             )
 
     return make
 
 
+def _close_enough(percent: int):
+    """The pairs (a, b, n_a, n_b, bitmap_a, bitmap_b) whose wide bitmaps leave the similarity possible."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_a, n_b = b.column(2).to_numpy(), b.column(3).to_numpy()
+            most = n_a + n_b - 2 * required_overlap(n_a, n_b, percent)
+            maps = zip(b.column(4).to_pylist(), b.column(5).to_pylist())
+            use = [
+                apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= m for (x, y), m in zip(maps, most)
+            ]
+            use = pa.array(use, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(use), b.column(1).filter(use)], names=["a", "b"])
+
+    return keep
+
+
 def required_overlap(n_a, n_b, percent: int):
     """Smallest intersection with 100 * intersection >= percent * union."""
     return -(-percent * (n_a + n_b) // (100 + percent))
@@ -360,8 +399,17 @@ class NgramJoin:
         )
         make = _sets(self.n, self.lower, self.frequent)
         sets = materialize(
-            keep_ids(self.docs, "doc_id", ids).mapInArrow(make, "doc_id long, tokens binary"), "sets"
+            keep_ids(self.docs, "doc_id", ids).mapInArrow(make, "doc_id long, n long, bitmap binary, tokens binary"),
+            "sets",
+        )
+        # Wide bitmaps are a 32nd of the sets; only pairs that they leave open are worth the sets.
+        wide = lambda k: sets.select(
+            F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bitmap").alias(f"bitmap_{k}")
         )
+        both = pairs.join(wide("a"), "a").join(wide("b"), "b")
+        both = both.select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
+        pairs = materialize(both.mapInArrow(_close_enough(self.percent), "a long, b long").distinct(), "close")
+        sets = sets.select("doc_id", "tokens")
         sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         sizes = sizes.withColumn("salts", F.ceil(F.col("n") / PARTNERS).cast("int"))
         own = sizes.join(sets.withColumnRenamed("doc_id", "a"), "a").select(

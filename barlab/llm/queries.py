@@ -17,6 +17,7 @@ from barlab.llm import (
     token_counts,
     toxicity,
 )
+from barlab.llm.oracles import quality_sql
 from barlab.llm.shared import read_table
 
 
@@ -97,4 +98,4 @@ QUERIES = {
     "op10_token_counts": op10,
 }
 
-ORACLES = {"op3_source_mixing": mixing.MIX_SQL}
+ORACLES = {"op3_source_mixing": mixing.MIX_SQL, "op7_quality_rules": quality_sql()}
