@@ -6,16 +6,18 @@ ask whether it could be uniformly random in that alphabet: chi-squared over char
 over single characters, runs above and below the alphabet's middle, and serial correlation. Fisher's
 method combines them. Text-like strings fail.
 
-How large a combined p-value a string needs is set per encoding and length class, since short
-strings are hard to tell: p-values of random strings are uniform, so those above one half show how
-many strings of a class are random, and the cutoff is the smallest at which the rest make up at
-most ``false_share`` of what passes. The classes are counted over all texts.
+How large a combined p-value a string needs is ``THIN``, unless its encoding and length class, counted
+over all texts, shows otherwise: p-values of random strings are uniform, so those above one half
+bound how many strings of a class are random. The cutoff rises only where even the bound leaves more
+than ``false_share`` of what passes to other strings, and falls below ``THIN`` bin by bin while the
+bin's own strings are random by that share. So a class of few strings loses none of them by chance.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +30,12 @@ from barlab.session import materialize
 KINDS = ("assign", "access", "hex", "random")
 FALSE_SHARE = 0.1
 LENGTHS = (20, 24, 32, 48, 96)
-BINS = 20
+# Lower ends of the bins of p-values, the cutoff of classes that show nothing else, and how much more
+# often than uniform p-values those of random strings are below it.
+EDGES = (0.0, 0.0001, 0.001, 0.01, *(b / 20 for b in range(1, 20)))
+BINS = len(EDGES)
+THIN, HALF = EDGES.index(0.01), EDGES.index(0.5)
+TAIL = 2.5
 
 # The patterns and least lengths of the base scan.
 _ASSIGN = re.compile(
@@ -143,22 +150,30 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         e = encoding_of(token)
         if e is not None:
             size = sum(len(token) >= n for n in LENGTHS) - 1
-            level = min(int(randomness(token, e) * BINS), BINS - 1)
+            level = bisect_right(EDGES, randomness(token, e)) - 1
             out.append((m.start(), m.end(), e * len(LENGTHS) + size, level))
     return out
 
 
 def cutoffs(counts: dict[tuple[int, int], int], false_share: float = FALSE_SHARE) -> dict[int, int]:
-    """Class -> first bin that passes, from counts per (class, bin). Classes without one are left out."""
+    """Class -> first bin that passes, from counts per (class, bin); every class has one.
+
+    The number of random strings is bounded from those in the upper half (the upper 95 % limit of a
+    Poisson mean).
+    """
     out = {}
     for kind in {k for k, _ in counts}:
         n = [counts.get((kind, b), 0) for b in range(BINS)]
-        random = sum(n[BINS // 2 :]) * 2
-        for first in range(1, BINS):  # a string in the lowest bin never passes
-            passing = sum(n[first:])
-            if passing and passing - random * (BINS - first) / BINS <= false_share * passing:
-                out[kind] = first
+        upper = sum(n[HALF:])
+        random = 2 * (upper + 1.6 + 1.645 * math.sqrt(upper + 0.7))
+        first = THIN
+        while first < HALF and (1 - false_share) * sum(n[first:]) > random * (1 - EDGES[first]):
+            first += 1
+        while 0 < first <= THIN:
+            if (1 - false_share) * n[first - 1] > TAIL * random * (EDGES[first] - EDGES[first - 1]):
                 break
+            first -= 1
+        out[kind] = first
     return out
 
 

@@ -207,6 +207,29 @@ def test_p_values_of_random_strings_are_even():
     assert all(secrets.randomness(w * 2, 3) < 1e-3 for w in ("internationalisation1", "connectionpoolsize22"))
 
 
+def test_a_lone_secret_passes_in_every_class():
+    """Also below p = 0.5, and whatever few others its class holds; a flood of other strings is kept out."""
+    bins = range(secrets.THIN, secrets.BINS)
+    for b in bins:
+        assert secrets.cutoffs({(7, b): 1})[7] <= b
+    assert secrets.cutoffs(dict.fromkeys([(7, b) for b in (5, 8, 10, 14)], 1))[7] <= 5
+    rnd = random.Random(5)
+    for _, classes in secrets.ENCODINGS:
+        for n in secrets.LENGTHS:
+            found = 0
+            for _ in range(100):
+                text = "is " + "".join(rnd.choices("".join(classes), k=n)) + "."
+                base = secrets.base_spans(text)
+                tested = secrets.candidates(text, base)
+                passing = secrets.cutoffs(Counter((c, b) for _, _, c, b in tested))
+                found += len(secrets.found_spans(text, passing)) == len(base) + len(tested)
+            assert found >= 95
+    uniform = {(7, b): round(20_000 * (e - s)) for b, (s, e) in enumerate(zip(secrets.EDGES, (*secrets.EDGES[1:], 1)))}
+    assert secrets.cutoffs(uniform)[7] == 0
+    flood = {**uniform, (7, 0): 20_000, (7, 2): 20_000, (7, 3): 20_000, (7, 4): 20_000}
+    assert secrets.cutoffs(flood)[7] == 5
+
+
 # --- trained scorers ----------------------------------------------------------------------
 
 WORDS = {
