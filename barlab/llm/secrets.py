@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that pass a battery of randomness tests.
 
-A candidate is a run of 20 or more characters of base64 that mixes digits with letters. Its encoding
-(hex, base32, base36, base62 or base64) is the smallest that holds all its characters. Three tests
+A candidate is a run of characters of base64 with letters, and every part of such a run between
+slashes, dashes and underscores, or pluses: a path, a prefix or a mixture of both base64 alphabets
+does not hide a secret. Its encoding (hex, letters, base32, base36, base62 or base64) is the smallest
+that holds all its characters. ``LEAST`` is the length from which a candidate is judged. Three tests
 ask whether it could be uniformly random in that alphabet: chi-squared over character classes and
 over single characters, runs above and below the alphabet's middle, and serial correlation. Fisher's
 method combines them. Text-like strings fail.
@@ -29,7 +31,7 @@ from barlab.session import materialize
 
 KINDS = ("assign", "access", "hex", "random")
 FALSE_SHARE = 0.1
-LENGTHS = (20, 24, 32, 48, 96)
+LENGTHS = (16, 20, 24, 32, 48, 96)
 # Lower ends of the bins of p-values, the cutoff of classes that show nothing else, and how much more
 # often than uniform p-values those of random strings are below it.
 EDGES = (0.0, 0.0001, 0.001, 0.01, *(b / 20 for b in range(1, 20)))
@@ -45,7 +47,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGNED = 12
 
-_CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_PARTS = [re.compile(p) for p in ("[^/]{16,}", "[^_-]{16,}", "[^/_-]{16,}", "[^/+]{16,}", "[^/+_-]{16,}")]
 _DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -59,8 +62,18 @@ ENCODINGS: list[tuple[str, list[str]]] = [
     ("base62", [_LOWER, _UPPER, _DIGITS]),
     ("base64", [_LOWER, _UPPER, _DIGITS, "+/"]),
     ("base64url", [_LOWER, _UPPER, _DIGITS, "-_"]),
+    ("lower", [_LOWER]),
+    ("UPPER", [_UPPER]),
+    ("letters", [_LOWER, _UPPER]),
 ]
+# Where text-like strings can be told from random ones: of joined English words a third or less has p >= 0.01
+# in base64 from 16, letters from 32 and letters of one case from 64 characters. Without digits: 32 or more.
+LEAST = {"HEX": 16, "base64": 16, "lower": 64, "UPPER": 64, "letters": 32}
+LEAST_USUAL, LEAST_UNDIGITED = 20, 32
 _PLACES = [{c: i for i, c in enumerate("".join(classes))} for _, classes in ENCODINGS]
+_BY_SIZE = sorted(range(len(ENCODINGS)), key=lambda e: len(_PLACES[e]))
+_SETS = [frozenset(places) for places in _PLACES]
+_LETTERS_ALONE = [e for e in _BY_SIZE if not _DIGIT.search("".join(ENCODINGS[e][1]))]
 
 
 def _normal_tail(z: float) -> float:
@@ -85,8 +98,8 @@ def _chi_squared_tail(x: float, k: int, n: int) -> float:
 def encoding_of(s: str) -> int | None:
     """Smallest alphabet that holds all characters (without padding), or None."""
     characters = set(s)
-    for e, places in enumerate(_PLACES):
-        if characters <= places.keys():
+    for e in _BY_SIZE if _DIGIT.search(s) else [*_LETTERS_ALONE, *_BY_SIZE]:
+        if characters <= _SETS[e]:
             return e
     return None
 
@@ -138,20 +151,31 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def parts(token: str) -> list[tuple[int, int]]:
+    """(start, end) of a run and of its parts between separators, each once."""
+    return sorted({(0, len(token)), *(m.span() for p in _PARTS for m in p.finditer(token))})
+
+
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, int, int]]:
     """(start, end, class, bin) of the strings outside the base spans that the battery judges."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        token = m[0].rstrip("=")
-        if not _DIGIT.search(token) or not _LETTER.search(token):
-            continue
-        if any(s < m.end() and m.start() < e for s, e, _ in base):
-            continue
-        e = encoding_of(token)
-        if e is not None:
+        run = m[0].rstrip("=")
+        near = [(s, e) for s, e, _ in base if s < m.end() and m.start() < e]
+        for first, last in parts(run) if _LETTER.search(run) else ():
+            token, start = run[first:last], m.start() + first
+            end = m.end() if last == len(run) else m.start() + last
+            if not _LETTER.search(token) or any(s < end and start < e for s, e in near):
+                continue
+            e = encoding_of(token)
+            if e is None:
+                continue
+            least = LEAST.get(ENCODINGS[e][0], LEAST_USUAL)
+            if len(token) < (least if _DIGIT.search(token) else max(least, LEAST_UNDIGITED)):
+                continue
             size = sum(len(token) >= n for n in LENGTHS) - 1
             level = bisect_right(EDGES, randomness(token, e)) - 1
-            out.append((m.start(), m.end(), e * len(LENGTHS) + size, level))
+            out.append((start, end, e * len(LENGTHS) + size, level))
     return out
 
 
@@ -177,17 +201,51 @@ def cutoffs(counts: dict[tuple[int, int], int], false_share: float = FALSE_SHARE
     return out
 
 
+def with_random(base, tested, passing: dict[int, int]) -> list[tuple[int, int, str]]:
+    """The base spans and the candidates that pass, by start and then kind; those that overlap are one."""
+    added = []
+    for start, end, kind, level in sorted(tested):
+        if level >= passing.get(kind, BINS):
+            if added and start < added[-1][1]:
+                added[-1] = (added[-1][0], max(end, added[-1][1]), "random")
+            else:
+                added.append((start, end, "random"))
+    return sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2])))
+
+
 def found_spans(text: str, passing: dict[int, int]) -> list[tuple[int, int, str]]:
     base = base_spans(text)
-    added = [(s, e, "random") for s, e, kind, level in candidates(text, base) if level >= passing.get(kind, BINS)]
-    return sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
+    return with_random(base, candidates(text, base), passing)
 
 
 _SCAN = "doc_id long, spans array<struct<start:int,end:int,kind:string>>, tested array<struct<start:int,end:int,class:int,bin:int>>"
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+
+
+def _judge(passing: dict[int, int]):
+    """Rows of ``_scan`` with their final spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [
+                [
+                    {"start": s, "end": e, "kind": k}
+                    for s, e, k in with_random(
+                        [(x["start"], x["end"], x["kind"]) for x in base],
+                        [(x["start"], x["end"], x["class"], x["bin"]) for x in tested],
+                        passing,
+                    )
+                ]
+                for base, tested in zip(b.column(1).to_pylist(), b.column(2).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, _SPANS)], names=["doc_id", "spans"])
+
+    return run
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
     test = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("class", pa.int32()), ("bin", pa.int32())])
     )
@@ -200,7 +258,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [{"start": s, "end": e, "class": c, "bin": n} for s, e, c, n in candidates(text or "", base)]
             )
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(spans, span), pa.array(tested, test)], names=["doc_id", "spans", "tested"]
+            [b.column(0), pa.array(spans, _SPANS), pa.array(tested, test)], names=["doc_id", "spans", "tested"]
         )
 
 
@@ -225,22 +283,7 @@ def scan(
     )
     found = materialize(rows.mapInArrow(_scan, _SCAN), "secrets")
     passing = cutoffs(_class_counts(found), false_share)
-    passes = F.lit(False)
-    levels = F.create_map(*(F.lit(v) for kv in passing.items() for v in kv)) if passing else None
-    added = F.filter(
-        "tested",
-        lambda t: passes if levels is None else F.coalesce(t["bin"] >= F.element_at(levels, t["class"]), passes),
-    )
-    added = F.transform(added, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit("random").alias("kind")))
-    rank = lambda k: F.array_position(F.array(*map(F.lit, KINDS)), k)
-    ordered = F.array_sort(
-        F.transform(
-            F.concat("spans", added),
-            lambda s: F.struct(s["start"].alias("start"), rank(s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")),
-        )
-    )
-    spans = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return found.select("doc_id", spans.alias("spans"))
+    return found.mapInArrow(_judge(passing), "doc_id long, spans array<struct<start:int,end:int,kind:string>>")
 
 
 def digest(scanned: DataFrame) -> DataFrame:
