@@ -22,13 +22,17 @@ least.
    so that neighbours share their path). Its traversal takes over the partial overlap of the shared
    path and leaves a subtree once the remaining lengths cannot reach the required overlap.
 
-No link between components is lost, since every pair across components that can reach the
-threshold is verified; pairs inside one component are not all enumerated.
+6. ``all_links``: the distinct sets of a component, which holds all their links, are dealt to cells of
+   ``CELL`` sets by size band; every two cells whose sizes allow a link meet once as a block, with each
+   set once, and the trie of one cell is walked for each set of the other. A block returns its links,
+   or their number per set.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +56,8 @@ BITS = 512
 WINDOW = 32
 # Partners of one document that are verified in one group.
 PARTNERS = 1024
+# Sets of one cell; two cells meet in one task.
+CELL = 256
 
 _LATE = np.uint64(1 << 62)
 
@@ -354,6 +360,61 @@ def _verify(percent: int):
     return verify
 
 
+def _signed_sets(n: int, lower: bool, frequent: np.ndarray):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            signatures, sets = [], []
+            for s in _ordered_sets(b.column(1), n, lower, frequent):
+                signatures.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                sets.append(s.astype(">u8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(signatures, pa.binary()), pa.array(sets, pa.binary())],
+                names=["rep", "signature", "tokens"],
+            )
+
+    return make
+
+
+def _block_links(percent: int, count: bool):
+    """Rows (block, second, one, rep, signature, tokens) sorted by block: all links between its two cells.
+
+    ``second`` tells the cells apart; with ``one``, the block is a cell with itself. Returns the links (a, b,
+    signature_a, signature_b), each once, or (signature, links) per set.
+    """
+
+    def links(sides, one):
+        """Sets of the first cell and what they are linked with; a set that came twice counts once."""
+        queries, partners = (sorted(side.items()) for side in (sides[0], sides[0] if one else sides[1]))
+        partners.sort(key=lambda x: x[1][1])
+        sets = [tokens for _, (_, tokens) in partners]
+        for signature, (doc, tokens) in queries:
+            for i in trie_links(np.frombuffer(tokens, ">u8").astype(np.uint64), sets, percent):
+                other, (partner, _) = partners[i]
+                if not one or signature < other:
+                    yield doc, partner, signature, other
+
+    def batch(found):
+        if count:
+            times = Counter(x for link in found for x in link[2:])
+            columns = [pa.array(list(times), pa.binary()), pa.array(list(times.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["signature", "n_links"])
+        a, b, x, y = zip(*found) if found else ((), (), (), ())
+        columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "signature_a", "signature_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, alone, sides = None, False, ({}, {})
+        for b in batches:
+            for block, second, one, doc, signature, tokens in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if block != key:
+                    yield batch(list(links(sides, alone)))
+                    key, alone, sides = block, one, ({}, {})
+                sides[second][signature] = (doc, tokens)
+        yield batch(list(links(sides, alone)))
+
+    return run
+
+
 class NgramJoin:
     """The join of one table of texts. ``percent`` is the least Jaccard similarity in percent."""
 
@@ -459,16 +520,69 @@ class NgramJoin:
                 labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
         return found
 
-    def membership(self) -> DataFrame:
-        """doc_id, n_shingles, class_id and component_id of every row.
-
-        A row without words has itself as class and component; a row without id has neither.
-        """
+    def _classes_joined(self) -> DataFrame:
+        """n_shingles, signature, rep and component of every distinct set that is not empty."""
         joined = components(self.links())
         classes = self.classes().join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        classes = classes.select(
-            "n_shingles", "signature", "rep", F.coalesce("component", "rep").alias("component")
+        return classes.select("n_shingles", "signature", "rep", F.coalesce("component", "rep").alias("component"))
+
+    def _blocks(self, classes: DataFrame, count: bool, schema: str) -> DataFrame:
+        # A link needs sizes in one band or in neighbouring ones.
+        step = max(math.log(100 / self.percent), 1e-9) * (1 + 1e-9)
+        placed = classes.withColumn("band", F.floor(F.log("n_shingles") / step))
+        held = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component")
+        placed = placed.join(held, "component", "left_semi")
+        bands = placed.groupBy("component", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
+        bands = materialize(bands, "bands")
+        cells = bands.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        cells = cells.withColumn("at", F.struct("band", "cell")).select("component", "at", "band")
+        other = cells.select("component", F.col("at").alias("at2"), F.col("band").alias("band2"))
+        blocks = cells.join(other, "component").filter("at <= at2 AND band2 - band <= 1")
+        blocks = blocks.withColumn("block", F.struct("component", "at", "at2")).withColumn("one", F.expr("at = at2"))
+        blocks = blocks.select(
+            "component",
+            "block",
+            "one",
+            F.explode(
+                F.when(F.col("one"), F.array(F.struct(F.lit(0).alias("second"), "at"))).otherwise(
+                    F.array(
+                        F.struct(F.lit(0).alias("second"), "at"), F.struct(F.lit(1).alias("second"), F.col("at2").alias("at"))
+                    )
+                )
+            ).alias("side"),
+        ).select("component", "block", "one", "side.second", F.col("side.at.band").alias("band"), F.col("side.at.cell").alias("cell"))
+        cell = F.pmod(F.xxhash64("signature"), F.col("cells")).cast("int").alias("cell")
+        members = placed.join(bands, ["component", "band"]).select("component", "band", cell, "rep", "signature")
+        members = materialize(members, "members")
+        made = keep_ids(self.docs, "doc_id", materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "linked"))
+        sets = made.mapInArrow(
+            _signed_sets(self.n, self.lower, self.frequent), "rep long, signature binary, tokens binary"
         )
+        rows = sets.join(members, ["rep", "signature"]).join(blocks, ["component", "band", "cell"])
+        rows = rows.select(F.to_json("block").alias("block"), "second", "one", "rep", "signature", "tokens")
+        rows = rows.repartition(self.parts, "block").sortWithinPartitions("block")
+        return rows.mapInArrow(_block_links(self.percent, count), schema)
+
+    def all_links(self) -> DataFrame:
+        """Every link between different sets once: a, b (their representatives) and the signatures of both."""
+        classes = materialize(self._classes_joined(), "classes")
+        schema = "a long, b long, signature_a binary, signature_b binary"
+        return self._blocks(classes, False, schema)
+
+    def membership(self, count_links: bool = False) -> DataFrame:
+        """doc_id, n_shingles, class_id and component_id of every row.
+
+        A row without words has itself as class and component; a row without id has neither. With
+        ``count_links`` also n_links, the number of other sets that the row's set is linked with.
+        """
+        classes = self._classes_joined()
+        more = []
+        if count_links:
+            classes = materialize(classes, "classes")
+            counts = self._blocks(classes, True, "signature binary, n_links long")
+            counts = counts.groupBy("signature").agg(F.sum("n_links").alias("n_links"))
+            classes = classes.join(counts, "signature", "left")
+            more = [F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")]
         # An id that several texts carry joins what any of them is linked with.
         rows = self.profiles.select("doc_id", "n_shingles", "signature").join(
             classes, ["n_shingles", "signature"], "left"
@@ -479,6 +593,7 @@ class NgramJoin:
             "n_shingles",
             F.when(some, F.coalesce("rep", "doc_id")).alias("class_id"),
             F.when(some, F.coalesce("component", "doc_id")).alias("component_id"),
+            *more,
         )
 
 
@@ -489,14 +604,29 @@ def ngram_components(
     percent: int = 90,
     n: int = 3,
     lower: bool = True,
+    count_links: bool = False,
 ) -> DataFrame:
     """Near-copy components of a table of texts: doc_id, n_shingles, class_id, component_id per row.
 
+    With ``count_links`` also n_links, the number of other distinct sets that the row's set is linked with.
+
     NULL and empty texts have an empty set and are linked with nothing. Rows with one id are one
     document as far as components go only if their texts are linked. An empty table gives no rows;
     other columns are ignored.
     """
-    return NgramJoin(docs, id_column, text_column, percent, n, lower).membership()
+    return NgramJoin(docs, id_column, text_column, percent, n, lower).membership(count_links)
+
+
+def ngram_links(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    percent: int = 90,
+    n: int = 3,
+    lower: bool = True,
+) -> DataFrame:
+    """All links (a, b) between different sets of a table of texts, each once, by the smallest id of each set."""
+    return NgramJoin(docs, id_column, text_column, percent, n, lower).all_links().select("a", "b")
 
 
 def keep_one(

@@ -38,8 +38,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngram_join.ngram_components(documents(spark, sf_dir), percent=90, n=3)
-    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+    found = ngram_join.ngram_components(documents(spark, sf_dir), percent=90, n=3, count_links=True)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,31 @@ def test_components_equal_brute_force(docs_of, odd_rows, n, percent):
     assert 1 < len(set(expected.values())) < len(rows) - 20
 
 
+@pytest.mark.parametrize("cell", [256, 5])
+def test_all_links_equal_brute_force(docs_of, odd_rows, monkeypatch, cell):
+    """Also those inside a component, in one cell and over many."""
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    template = [f"t{k}" for k in range(200)]
+    dense = [(500 + k, " ".join([*template[: 4 * k], f"x{k}", *template[4 * k + 1 :]]), "en", "s") for k in range(30)]
+    rows = near_copies(3) + odd_rows + dense
+    sets = {}
+    for i, t, *_ in rows:
+        if i is not None and shingles(t, 3):
+            sets[shingles(t, 3)] = min(i, sets.get(shingles(t, 3), i))
+    near = lambda x, y: 100 * len(x & y) >= 90 * len(x | y)
+    expected = sorted((min(i, j), max(i, j)) for x, i in sets.items() for y, j in sets.items() if i < j and near(x, y))
+    got = ngram_join.ngram_links(docs_of(rows)).collect()
+    assert sorted((min(a, b), max(a, b)) for a, b in got) == expected
+    assert len(expected) > 30 * 29 / 2
+    counted = ngram_join.ngram_components(docs_of(rows), count_links=True).collect()
+    assert len(counted) == len(rows)
+    texts = {i: t for i, t, *_ in rows}
+    for r in counted:
+        own = shingles(texts[r.doc_id], 3)
+        count = sum(near(own, x) for x in sets if x != own) if own else 0
+        assert r.n_links == (None if r.doc_id is None else count)
+
+
 def test_one_document_of_each_group_stays(docs_of, odd_rows):
     rows = near_copies(9) + odd_rows
     docs = docs_of(rows)
