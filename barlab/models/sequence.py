@@ -29,6 +29,7 @@ SWEEP = [
     {"name": "D", "seq_len": 60, "hidden": 128},
     {"name": "E", "seq_len": 60, "hidden": 32},
 ]
+TOO_FEW = "too few rows"
 
 
 @dataclass
@@ -99,29 +100,37 @@ def config_sweep(
     configs: list[dict] | None = None,
     columns: list[str] | None = None,
     **fitting,
-) -> tuple[DataFrame, SequenceModel]:
+) -> tuple[DataFrame, SequenceModel | None]:
     """Fit every configuration; the first with the highest tuned balanced accuracy wins.
 
-    The two splits are kept while the configurations read them.
+    A configuration whose window is longer than the rows of every symbol in a split has a row that
+    says so. The two splits are kept while the configurations read them.
     """
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     results, winner = [], None
     try:
+        longest = min(
+            split.groupBy("symbol").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+            for split in (train, val)
+        )
         for config in configs or SWEEP:
+            if config["seq_len"] > longest:
+                results.append((config["name"], config["seq_len"], config["hidden"], None, None, TOO_FEW))
+                continue
             fitted = fit_sequence_classifier(
                 train, val, columns, rows=config["seq_len"], hidden=config["hidden"], **fitting
             )
             if winner is None or fitted.balanced_accuracy > winner.balanced_accuracy:
                 winner = fitted
             results.append(
-                (config["name"], fitted.rows, fitted.hidden, fitted.balanced_accuracy, fitted.cutoff)
+                (config["name"], fitted.rows, fitted.hidden, fitted.balanced_accuracy, fitted.cutoff, None)
             )
     finally:
         train.unpersist()
         val.unpersist()
     table = train.sparkSession.createDataFrame(
         results,
-        "config string, seq_len int, hidden int, balanced_accuracy double, cutoff double",
+        "config string, seq_len int, hidden int, balanced_accuracy double, cutoff double, note string",
     )
     return table, winner

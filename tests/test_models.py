@@ -135,3 +135,11 @@ def test_sequence_sweep(parts):
     assert winner.rows == max(rows, key=lambda r: (r["balanced_accuracy"], -rows.index(r)))["seq_len"]
     with pytest.raises(DataValidationError):
         sequence.fit_sequence_classifier(named(table, "train").limit(3), table, FEATURES, rows=5)
+
+
+def test_sweep_says_which_windows_do_not_fit(parts):
+    _, table = parts
+    configs = [{"name": "long", "seq_len": 100_000, "hidden": 4}]
+    results, winner = sequence.config_sweep(named(table, "train"), named(table, "val"), configs, FEATURES)
+    assert winner is None
+    assert [tuple(r) for r in results.collect()] == [("long", 100_000, 4, None, None, sequence.TOO_FEW)]
