@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from barlab.llm import licenses
 from barlab.llm.quality_rules import ERROR, MIN_WORDS, RISK, RULES
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
@@ -76,3 +77,123 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT ({rejected}) AS kept
 FROM m
 """
+
+
+# A-Z alone is lowered; DuckDB's lower() would change letters beyond ASCII too.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+# The unsigned CRC-32 of a number's decimal text, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda x: unicode(x)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"""
+
+
+def trie_sql() -> str:
+    """Every prefix of every rebuilt conversation as a list, grouped; subtrees by all prefixes of every node."""
+    return f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS s FROM turns GROUP BY conv_id
+), cuts AS (
+  SELECT *, {_CRC} % 6 AS h, conv_id - conv_id % 100 AS base_id FROM own
+), seqs AS (
+  SELECT c.conv_id, list_concat(coalesce(b.s[1:c.h], []), c.s[c.h + 1:]) AS s
+  FROM cuts c LEFT JOIN own b ON b.conv_id = c.base_id
+), prefixes AS (
+  SELECT conv_id, s, d, s[1:d] AS p FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM seqs)
+), nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '') AS ends
+  FROM prefixes GROUP BY p, d
+), children AS (
+  SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), valued AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+    CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(p[d].text) END AS saved
+  FROM nodes n LEFT JOIN children c USING (p, d)
+), subtrees AS (
+  SELECT p[1:k] AS p, k AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM valued) GROUP BY ALL
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, up.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs,
+  v.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN subtrees s USING (p, d) LEFT JOIN nodes up ON v.d > 0 AND up.d = v.d - 1 AND up.p = v.p[1:v.d - 1]
+"""
+
+
+def ranking_sql() -> str:
+    """All scores of every item and document that share a term."""
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents
+), sized AS (
+  SELECT row, doc_id, t, len(t)::BIGINT AS n FROM docs WHERE len(t) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS many, sum(n)::BIGINT AS terms FROM sized
+), tf AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(t) AS term FROM sized) GROUP BY ALL
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, {_TERMS} AS t FROM benchmark
+), wanted AS (
+  SELECT item, item_id, term, count(*)::BIGINT AS qtf FROM (SELECT item, item_id, unnest(t) AS term FROM items) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * many + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, totals WHERE term IN (SELECT term FROM wanted) GROUP BY term, many
+), scored AS (
+  SELECT item, item_id, row, doc_id,
+    sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * many) // terms))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN sized USING (row), totals
+  GROUP BY item, item_id, row, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 20
+"""
+
+
+def licenses_sql() -> str:
+    """Places of the phrases word by word; every block against every template."""
+    places = []
+    for phrase, label in licenses.PHRASES.items():
+        words = phrase.split()
+        same = " AND ".join(f"t[i + {k}] = '{w}'" for k, w in enumerate(words))
+        places.append(f"SELECT row, i - 1 AS place, '{label}' AS label FROM word_at WHERE {same}")
+    rows = []
+    for label, text in licenses.TEMPLATES:
+        quoted = text.replace("'", "''")
+        rows.append(f"('{label}', '{quoted}')")
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents
+), word_at AS (
+  SELECT row, t, unnest(range(1, len(t) + 1)) AS i FROM docs
+), places AS (
+  {" UNION ALL ".join(places)}
+), base AS (
+  SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY row
+), templates AS (
+  SELECT label, list_distinct(t) AS own, greatest(1, (len(list_distinct(t)) * {licenses.PERCENT} + 99) // 100) AS need,
+    (2 ** ceil(log2(len(t))))::BIGINT AS width
+  FROM (SELECT label, {_TERMS} AS t FROM (VALUES {", ".join(rows)}) v(label, text))
+), widths AS (
+  SELECT DISTINCT width FROM templates
+), blocks AS (
+  SELECT row, width, list_distinct(t[b * width + 1:(b + 2) * width]) AS words
+  FROM (SELECT row, t, width, unnest(range(0, (len(t) + width - 1) // width)) AS b FROM docs, widths)
+), found AS (
+  SELECT row, label, max(len(list_intersect(words, own)) / len(own)::DOUBLE) AS share
+  FROM blocks JOIN templates USING (width) WHERE len(list_intersect(words, own)) >= need GROUP BY row, label
+), own AS (
+  SELECT row, list(DISTINCT label) AS labels, max(share) AS share FROM found GROUP BY row
+)
+SELECT doc_id, len(t)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(o.labels, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(o.share, 0.0) END::DOUBLE AS score
+FROM docs LEFT JOIN base b USING (row) LEFT JOIN own o USING (row)
+"""

@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from barlab.llm import (
     importance,
     language_id,
+    lexical,
+    licenses,
     mixing,
     neighbours,
     ngram_join,
     packing,
+    prefix_trie,
     quality_rules,
     secrets,
     token_counts,
     toxicity,
 )
-from barlab.llm.oracles import quality_sql
+from barlab.llm.oracles import licenses_sql, quality_sql, ranking_sql, trie_sql
 from barlab.llm.shared import read_table
 
 
@@ -85,6 +88,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1,
     "op2_learned_partitions_ann": op2,
@@ -96,6 +111,15 @@ QUERIES = {
     "op8_language_codes": op8,
     "op9_best_fit_packing": op9,
     "op10_token_counts": op10,
+    "op11_prefix_trie": op11,
+    "op12_dual_tree_search": op12,
+    "op13_license_scan": op13,
 }
 
-ORACLES = {"op3_source_mixing": mixing.MIX_SQL, "op7_quality_rules": quality_sql()}
+ORACLES = {
+    "op3_source_mixing": mixing.MIX_SQL,
+    "op7_quality_rules": quality_sql(),
+    "op11_prefix_trie": trie_sql(),
+    "op12_dual_tree_search": ranking_sql(),
+    "op13_license_scan": licenses_sql(),
+}
