@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.checks import require_columns
-from barlab.operators.ordered import median
+from barlab.operators.ordered import wide_quantiles
 from barlab.schema import DAY_MS, MINUTE_MS
 
 CUBE_INPUTS = [
@@ -124,34 +124,33 @@ def hourly_seasonality(cube: DataFrame) -> DataFrame:
 COHORT_STATS = ["quote_vol_per_day", "std_r", "up_share", "taker_ratio"]
 
 
-def group_medians(
-    rollup: DataFrame, by: str, stats: list[str] | None = None, **split
-) -> DataFrame:
-    """Exact median of each statistic per group, as columns ``median_<stat>``.
+def _group_rows(rollup: DataFrame, by: str, stats: list[str], also: dict[str, Column]) -> DataFrame:
+    """One row per group: further aggregates, then the exact median of each statistic."""
+    found = wide_quantiles(rollup, {c: [0.5] for c in stats}, [by], [v.alias(k) for k, v in also.items()])
+    rows = [
+        (*g, *(found.also[g][k] for k in also), *(found.quantiles[g][c][0] for c in stats)) for g in found.quantiles
+    ]
+    key = dict(rollup.dtypes)[by]
+    fields = [f"`{by}` {key}", *(f"{k} long" for k in also), *(f"median_{c} double" for c in stats)]
+    return rollup.sparkSession.createDataFrame(rows, ", ".join(fields))
+
+
+def group_medians(rollup: DataFrame, by: str, stats: list[str] | None = None) -> DataFrame:
+    """Exact median of each statistic per group, as columns ``median_<stat>``; pass a stored table.
 
     Groups are tiers or flags: a handful.
     """
-    stats = stats or COHORT_STATS
-    long = rollup.select(
-        by,
-        F.inline(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("v")) for c in stats])),
-    )
-    wide = median(long, "v", [by, "stat"], few_groups=True, **split)
-    return wide.groupBy(by).agg(
-        *[F.max(F.when(F.col("stat") == c, F.col("median"))).alias(f"median_{c}") for c in stats]
-    )
+    return _group_rows(rollup, by, stats or COHORT_STATS, {})
 
 
-def cohort_medians(rollup: DataFrame, **split) -> DataFrame:
-    return group_medians(rollup, "in_cohort", **split)
+def cohort_medians(rollup: DataFrame) -> DataFrame:
+    return group_medians(rollup, "in_cohort")
 
 
-def tier_summary(tiered: DataFrame, **split) -> DataFrame:
-    """Symbols, total rows and medians per tier."""
-    sizes = tiered.groupBy("tier").agg(
-        F.count(F.lit(1)).alias("symbols"), F.sum("n").alias("total_rows")
-    )
-    return sizes.join(group_medians(tiered, "tier", **split), "tier")
+def tier_summary(tiered: DataFrame) -> DataFrame:
+    """Symbols, total rows and medians per tier; pass a stored table, which is scanned twice."""
+    sizes = {"symbols": F.count(F.lit(1)), "total_rows": F.sum("n")}
+    return _group_rows(tiered, "tier", COHORT_STATS, sizes)
 
 
 def liquidity_topk(rollup: DataFrame, k: int = 30) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.checks import require_columns
-from barlab.operators.ordered import exact_quantiles
+from barlab.operators.ordered import grouped_quantiles, wide_quantiles
 from barlab.operators.series import over_series
 
 
@@ -64,50 +64,54 @@ def sample_kurtosis(n: Column, g2: Column) -> Column:
     return F.when(n > 3, F.coalesce(corrected, F.lit(0.0)))
 
 
-def feature_stats(table: DataFrame, columns: list[str], **split) -> DataFrame:
+def feature_stats(table: DataFrame, columns: list[str]) -> DataFrame:
     """Mean, median, population deviation, corrected skewness and kurtosis per feature.
 
-    Moments are taken over (feature, value) rows, which combine before they shuffle.
+    Two scans of the table (pass a stored one), each of one aggregate row: moments and sketches, then
+    the medians; see ``wide_quantiles``. Features without values are left out.
     """
-    long = to_long(table, columns)
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.skewness("value").alias("g1"),
-        F.kurtosis("value").alias("g2"),
-    )
-    medians = exact_quantiles(long, "value", [0.5], ["feature"], few_groups=True, **split)
-    return moments.join(F.broadcast(medians), "feature", "left").select(
+    require_columns(table, columns)
+    moments = {"mean": F.avg, "std": F.stddev_pop, "g1": F.skewness, "g2": F.kurtosis}
+    also = [f(F.col(c).cast("double")).alias(f"{m}__{c}") for c in columns for m, f in moments.items()]
+    found = wide_quantiles(table, {c: [0.5] for c in columns}, also=also)
+    (row,), (quantiles,) = found.also.values(), found.quantiles.values()
+    rows = [
+        (c, row[f"n{i}"], *(row[f"{m}__{c}"] for m in moments), quantiles[c][0])
+        for i, c in enumerate(columns)
+        if row[f"n{i}"]
+    ]
+    fields = "feature string, n long, mean double, std double, g1 double, g2 double, median double"
+    return table.sparkSession.createDataFrame(rows, fields).select(
         "feature",
         "n",
         "mean",
-        F.col("quantiles")[0].alias("median"),
+        "median",
         "std",
         sample_skewness(F.col("n"), F.col("g1")).alias("skewness"),
         sample_kurtosis(F.col("n"), F.col("g2")).alias("kurtosis"),
     )
 
 
-def iqr_outliers(table: DataFrame, columns: list[str], width: float = 1.5, **split) -> DataFrame:
-    """Quartiles and the count and share of values strictly beyond the fences."""
-    long = to_long(table, columns)
-    quartiles = exact_quantiles(
-        long, "value", [0.25, 0.75], ["feature"], few_groups=True, **split
-    ).select("feature", F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q75"))
-    iqr = F.col("q75") - F.col("q25")
-    outside = (F.col("value") < F.col("q25") - width * iqr) | (
-        F.col("value") > F.col("q75") + width * iqr
-    )
-    # One row of fences per feature, so the values stay where they are.
-    return (
-        long.join(F.broadcast(quartiles), "feature")
-        .groupBy("feature", "q25", "q75", iqr.alias("iqr"))
-        .agg(
-            F.sum(outside.cast("long")).alias("outliers"),
-            (F.sum(outside.cast("long")) * 100.0 / F.count(F.lit(1))).alias("outlier_pct"),
-        )
-    )
+def iqr_outliers(table: DataFrame, columns: list[str], width: float = 1.5) -> DataFrame:
+    """Quartiles and the count and share of values strictly beyond the fences.
+
+    Two scans for the quartiles (pass a stored table) and one that counts all columns at once.
+    """
+    require_columns(table, columns)
+    (quartiles,) = wide_quantiles(table, {c: [0.25, 0.75] for c in columns}).quantiles.values()
+    held = {c: q for c, q in quartiles.items() if q[0] is not None}
+    fields = "feature string, q25 double, q75 double, iqr double, outliers long, outlier_pct double"
+    counts = []
+    for i, (c, (q25, q75)) in enumerate(held.items()):
+        v, iqr = F.col(c).cast("double"), q75 - q25
+        outside = (v < F.lit(q25 - width * iqr)) | (v > F.lit(q75 + width * iqr))
+        counts += [F.count_if(outside).alias(f"o{i}"), F.count(v).alias(f"n{i}")]
+    counted = table.agg(*counts).first() if held else None
+    rows = [
+        (c, q25, q75, q75 - q25, counted[f"o{i}"], counted[f"o{i}"] * 100.0 / counted[f"n{i}"])
+        for i, (c, (q25, q75)) in enumerate(held.items())
+    ]
+    return table.sparkSession.createDataFrame(rows, fields)
 
 
 def _correlation(a: Column, b: Column) -> Column:
@@ -188,17 +192,11 @@ def log_histogram(
 FIVE_NUMBERS = {"minimum": 0.0, "q25": 0.25, "median": 0.5, "q75": 0.75, "maximum": 1.0}
 
 
-def box_stats(
-    table: DataFrame, columns: list[str], by: list[str] | None = None, **how
-) -> DataFrame:
-    """Five-number summary per feature, optionally within groups.
-
-    Pass ``few_groups=True`` where the groups are classes or the like.
-    """
+def box_stats(table: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Five-number summary per feature, optionally within groups; pass a stored table."""
     by = list(by or [])
-    q = exact_quantiles(
-        to_long(table, columns, by), "value", list(FIVE_NUMBERS.values()), [*by, "feature"], **how
-    )
+    require_columns(table, [*columns, *by])
+    q = grouped_quantiles(table, {c: list(FIVE_NUMBERS.values()) for c in columns}, by)
     return q.select(
         *by, "feature", *[F.col("quantiles")[i].alias(name) for i, name in enumerate(FIVE_NUMBERS)]
     )

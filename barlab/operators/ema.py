@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.checks import require_columns
@@ -51,49 +51,37 @@ def block_rows(spans: list[int]) -> int:
     return max(memory_rows(n) for n in spans)
 
 
-def with_emas(s: Series, columns: dict[str, tuple[str | Column, int]]) -> Series:
-    """Add ``{output: (input, span)}`` to a series already cut by ``Series.blocked``."""
-    in_block = Window.partitionBy(*s.keys, "_block").orderBy("_k")
-    before = s.ordered().rowsBetween(Window.unboundedPreceding, -1)
-    growing = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    values = {}
-    for out, (x, _) in columns.items():
-        x = F.col(x) if isinstance(x, str) else x
-        values[out] = F.when(~F.isnan(x), x.cast("double"))
-    local = {}
-    for out, (_, span) in columns.items():
-        q, x = _decay(span), values[out]
-        if span > 1:
-            # The first value of a series starts the average with the whole weight.
-            first = (F.col("_block") == 0) & (F.count(x).over(growing) == 1)
-            local[f"_w_{out}"] = F.when(x.isNotNull(), F.when(first, 1.0).otherwise(1.0 - q)).otherwise(0.0)
-    s = s.with_columns(local)
-    sums = {}
-    for out, (_, span) in columns.items():
-        if span > 1:
-            q, x, weight = _decay(span), values[out], F.col(f"_w_{out}")
-            back, forth = F.pow(F.lit(q), -F.col("_k")), F.pow(F.lit(q), F.col("_k"))
-            total = F.sum(F.coalesce(x, F.lit(0.0)) * weight * back).over(growing) * forth
-            sums[f"_l_{out}"] = F.struct(total.alias("x"), (F.sum(weight * back).over(growing) * forth).alias("w"))
-    s = s.with_columns(sums)
-    # Last local sums of the block before: the latest ones on a block's final row.
-    carries = {}
-    for out, (_, span) in columns.items():
-        if span > 1:
-            ends = F.when(F.col("_k") == s.block - 1, F.col(f"_l_{out}"))
-            carries[f"_c_{out}"] = F.last(ends, ignorenulls=True).over(before)
-    s = s.with_columns(carries)
-    final = {}
-    for out, (_, span) in columns.items():
-        if span == 1:
-            final[out] = values[out]
-            continue
-        decay = F.pow(F.lit(_decay(span)), F.col("_k") + 1)
-        parts = {
-            k: F.col(f"_l_{out}")[k] + decay * F.coalesce(F.col(f"_c_{out}")[k], F.lit(0.0)) for k in "xw"
-        }
-        final[out] = F.when(values[out].isNotNull(), parts["x"] / parts["w"])
-    s = s.with_columns(final)
+def with_emas(s: Series, columns: dict[str, tuple[str, int]]) -> Series:
+    """Add ``{output: (input, span)}`` to a series already cut by ``Series.blocked``.
+
+    The expressions are SQL text: one call into the JVM each, where columns would take dozens.
+    """
+    keys = ", ".join(f"`{k}`" for k in s.keys)
+    growing = f"OVER (PARTITION BY {keys}, _block ORDER BY _k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    order = ", ".join(f"`{c}`" for c in s.order)
+    before = f"OVER (PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    value = {out: f"CASE WHEN NOT isnan(`{x}`) THEN CAST(`{x}` AS DOUBLE) END" for out, (x, _) in columns.items()}
+    decay = {out: _decay(span) for out, (_, span) in columns.items() if span > 1}
+    local, sums, carries, final = {}, {}, {}, {}
+    for out, q in decay.items():
+        # The first value of a series starts the average with the whole weight.
+        first = f"_block = 0 AND count({value[out]}) {growing} = 1"
+        weight = f"CASE WHEN {first} THEN 1D ELSE {1.0 - q!r}D END"
+        local[f"_w_{out}"] = F.expr(f"CASE WHEN ({value[out]}) IS NOT NULL THEN {weight} ELSE 0D END")
+        back, forth = f"_w_{out} * power({q!r}D, -_k)", f"power({q!r}D, _k)"
+        total = f"sum(coalesce({value[out]}, 0D) * {back}) {growing} * {forth}"
+        sums[f"_l_{out}"] = F.expr(f"named_struct('x', {total}, 'w', sum({back}) {growing} * {forth})")
+        # Last local sums of the block before: the latest ones on a block's final row.
+        ends = f"CASE WHEN _k = {s.block - 1} THEN _l_{out} END"
+        carries[f"_c_{out}"] = F.expr(f"last({ends}, true) {before}")
+    for out in columns:
+        final[out] = F.expr(value[out])
+        if out in decay:
+            x, w = (
+                f"(_l_{out}.{k} + power({decay[out]!r}D, _k + 1) * coalesce(_c_{out}.{k}, 0D))" for k in "xw"
+            )
+            final[out] = F.expr(f"CASE WHEN ({value[out]}) IS NOT NULL THEN {x} / {w} END")
+    s = s.with_columns(local).with_columns(sums).with_columns(carries).with_columns(final)
     return s.drop(*local, *sums, *carries)
 
 

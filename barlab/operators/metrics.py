@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.checks import require_columns
-from barlab.operators.ordered import exact_quantiles, running_totals
+from barlab.operators.ordered import running_totals, wide_quantiles
 from barlab.schema import LOG_LOSS_CLIP, threshold_grid
 
 CONFUSION = ["tn", "fp", "fn", "tp"]
@@ -155,42 +155,53 @@ def regime_names(bins: int) -> list[str]:
     return ["Low", "Medium", "High"] if bins == 3 else [f"Bin_{i + 1}" for i in range(bins)]
 
 
-def with_regime(
-    predictions: DataFrame, column: str = "volatility_30", bins: int = 3, **split
-) -> DataFrame:
-    """Add the quantile bin of a column: [low, high), the last bin closed."""
-    edges = exact_quantiles(predictions, column, [i / bins for i in range(bins + 1)], **split)
-    table = predictions.withColumn("_edges", edges.scalar())
-    x, edge = F.col(column), F.col("_edges")
-    inner = F.slice(edge, 2, bins - 1) if bins > 1 else F.array().cast("array<double>")
-    # Inner edges at or below the value; where edges coincide the bins between them stay empty.
-    bin_ = F.when((x >= edge[0]) & (x <= edge[bins]), F.size(F.filter(inner, lambda e: e <= x)))
-    table = table.withColumn("_i", bin_).filter(F.col("_i").isNotNull())
-    names = F.array(*map(F.lit, regime_names(bins)))
+def _regime_edges(predictions: DataFrame, column: str, bins: int) -> list[float | None]:
+    """Edges of the quantile bins, from scans of the predictions; all None if no value is there."""
+    return wide_quantiles(predictions, {column: [i / bins for i in range(bins + 1)]}).quantiles[()][column]
+
+
+def _bin_of(column: str, edges: list[float | None]) -> Column:
+    """Index of the bin [low, high), the last one closed; where edges coincide bins stay empty."""
+    if edges[0] is None:
+        return F.lit(None).cast("int")
+    x, inner = F.col(column), edges[1:-1]
+    place = sum((F.when(x >= F.lit(e), 1).otherwise(0) for e in inner), F.lit(0))
+    return F.when((x >= F.lit(edges[0])) & (x <= F.lit(edges[-1])), place)
+
+
+def _described(table: DataFrame, index: str, edges: list[float | None]) -> DataFrame:
+    """Names and limits of the bins by their index."""
+    names = regime_names(len(edges) - 1)
+    of = lambda values, kind: F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col(index))
     return table.withColumns(
-        {"regime": names[F.col("_i")], "min_val": edge[F.col("_i")], "max_val": edge[F.col("_i") + 1]}
-    ).drop("_edges", "_i")
+        {"regime": of(names, "string"), "min_val": of(edges[:-1], "double"), "max_val": of(edges[1:], "double")}
+    )
 
 
-def metrics_by_regime(
-    predictions: DataFrame, column: str = "volatility_30", bins: int = 3, **split
-) -> DataFrame:
-    """Metrics per volatility bin, with its limits; empty bins do not appear."""
-    binned = with_regime(predictions, column, bins, **split)
-    return evaluate(binned, ["regime", "min_val", "max_val"], **split)
+def with_regime(predictions: DataFrame, column: str = "volatility_30", bins: int = 3) -> DataFrame:
+    """Add the quantile bin of a column: [low, high), the last bin closed; pass a stored table."""
+    edges = _regime_edges(predictions, column, bins)
+    table = predictions.withColumn("_i", _bin_of(column, edges)).filter(F.col("_i").isNotNull())
+    return _described(table, "_i", edges).drop("_i")
+
+
+def metrics_by_regime(predictions: DataFrame, column: str = "volatility_30", bins: int = 3, **split) -> DataFrame:
+    """Metrics per volatility bin, with its limits; empty bins do not appear. Pass a stored table."""
+    edges = _regime_edges(predictions, column, bins)
+    table = predictions.withColumn("_i", _bin_of(column, edges)).filter(F.col("_i").isNotNull())
+    return _described(evaluate(table, ["_i"], **split), "_i", edges).drop("_i")
 
 
 def accuracy_by_median(
-    predictions: DataFrame, column: str = "volatility_30", by: list[str] | None = None, **split
+    predictions: DataFrame, column: str = "volatility_30", by: list[str] | None = None
 ) -> DataFrame:
-    """Accuracy at or below and above the median of a column."""
+    """Accuracy at or below and above the median of a column; pass a stored table."""
     by = list(by or [])
-    middle = exact_quantiles(predictions, column, [0.5], **split).select(F.col("quantiles")[0])
-    side = F.when(F.col(column) <= F.col("_median"), "low").otherwise("high")
+    middle = wide_quantiles(predictions, {column: [0.5]}).quantiles[()][column][0]
+    side = F.when(F.col(column) <= F.lit(middle).cast("double"), "low").otherwise("high")
     correct = (F.col("y_true") == F.col("y_pred")).cast("int")
     return (
         predictions.filter(F.col(column).isNotNull())
-        .withColumn("_median", middle.scalar())
         .groupBy(*by, side.alias("side"))
         .agg(F.count(F.lit(1)).alias("count"), F.avg(correct).alias("accuracy"))
     )
@@ -210,31 +221,47 @@ def accuracy_by_symbol(predictions: DataFrame, models: list[str]) -> DataFrame:
     )
 
 
-def evaluation_report(predictions: DataFrame, model: str = "Model", **split) -> DataFrame:
-    """Overall, per-symbol and per-regime metrics in long form."""
-    names = ["count", *CONFUSION, *RATES, *RANKING]
-
-    def long(table: DataFrame, scope: str, group: Column, extra: tuple[str, ...] = ()) -> DataFrame:
-        cells = [
-            F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
-            for n in [*names, *extra]
-        ]
-        return table.select(
-            F.lit(model).alias("model"),
-            F.lit(scope).alias("scope"),
-            group.alias("group_name"),
-            F.inline(F.array(*cells)),
-        )
+def evaluation_report(
+    predictions: DataFrame, model: str = "Model", column: str = "volatility_30", bins: int = 3, **split
+) -> DataFrame:
+    """Overall, per-symbol and per-regime metrics in long form; pass a stored table.
 
-    overall = long(evaluate(predictions, **split), "overall", F.lit("all"))
-    symbols = long(metrics_by_symbol(predictions, **split), "per_symbol", F.col("symbol"))
-    regimes = long(
-        metrics_by_regime(predictions, **split),
-        "volatility_regimes",
-        F.col("regime"),
-        ("min_val", "max_val"),
+    After the regimes' edges, one scan counts the rows of all three scopes (grouping sets over score,
+    symbol and score, regime and score), and one ranking serves all their groups.
+    """
+    require_columns(predictions, ["symbol", "y_true", "y_pred", "y_prob", column], "prediction table")
+    edges = _regime_edges(predictions, column, bins)
+    scored = predictions.filter(is_scored()).select(
+        "symbol", "y_true", "y_pred", F.col("y_prob").cast("double").alias("y_prob"), _bin_of(column, edges).alias("_i")
+    )
+    sets = [["y_prob"], ["symbol", "y_prob"], ["_i", "y_prob"]]
+    y, p = F.col("y_true"), F.col("y_pred")
+    counts = scored.groupingSets(sets, "symbol", "_i", "y_prob").agg(
+        F.grouping("symbol").alias("_all_symbols"),
+        F.grouping("_i").alias("_all_bins"),
+        _count_if(y == 1).alias("n_pos"),
+        _count_if(y == 0).alias("n_neg"),
+        _count_if((y == 1) & (p == 1)).alias("n_tp"),
+        _count_if((y == 0) & (p == 1)).alias("n_fp"),
+    )
+    scope = (
+        F.when(F.col("_all_symbols") == 0, "per_symbol")
+        .when(F.col("_all_bins") == 0, "volatility_regimes")
+        .otherwise("overall")
+    )
+    counts = counts.withColumn("scope", scope).drop("_all_symbols", "_all_bins")
+    counts = counts.filter((F.col("scope") != "volatility_regimes") | F.col("_i").isNotNull())
+    table = _described(metrics_from_scores(counts, ["scope", "symbol", "_i"], **split), "_i", edges)
+    group = F.when(F.col("scope") == "overall", "all").when(F.col("scope") == "per_symbol", F.col("symbol"))
+    cells = [
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
+        for n in ["count", *CONFUSION, *RATES, *RANKING]
+    ]
+    limits = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in ("min_val", "max_val")]
+    own = F.when(F.col("scope") == "volatility_regimes", F.array(*cells, *limits)).otherwise(F.array(*cells))
+    return table.select(
+        F.lit(model).alias("model"), "scope", F.coalesce(group, "regime").alias("group_name"), F.inline(own)
     )
-    return overall.unionByName(symbols).unionByName(regimes)
 
 
 def report_document(report: DataFrame) -> DataFrame:
@@ -254,14 +281,17 @@ def threshold_metrics(
     """Rates at every cutoff of a grid (predict 1 where the score is at or above it).
 
     Scores are reduced to how many cutoffs they reach, so a group carries at most
-    len(grid) + 1 counts however many rows it has.
+    len(grid) + 1 counts however many rows it has. Rows without a truth or a score are left out, as in
+    all metrics; a group of such rows alone has none.
     """
     by = list(by or [])
     grid = threshold_grid() if grid is None else sorted(grid)
     cutoffs = F.array(*[F.lit(float(g)) for g in grid])
     reached = F.size(F.filter(cutoffs, lambda g: g <= F.col("y_prob")))
     y = F.col("y_true")
-    counts = predictions.groupBy(*by, reached.alias("reached")).agg(
+    score = F.col("y_prob").cast("double")
+    known = F.coalesce(y.isin(0, 1) & score.isNotNull() & ~F.isnan(score), F.lit(False))
+    counts = predictions.filter(known).groupBy(*by, reached.alias("reached")).agg(
         _count_if(y == 1).alias("pos"), _count_if(y == 0).alias("neg")
     )
     packed = counts.groupBy(*by).agg(F.collect_list(F.struct("reached", "pos", "neg")).alias("c"))

@@ -3,15 +3,20 @@
 Every rolling, lagging, leading and exponential operator is written once, against a
 ``Series``: a table, the columns that partition its windows and the columns that order them.
 
-Bars are numbered within their symbol and cut into segments of ``segment_rows`` consecutive rows.
-Each segment also receives the ``lookback`` rows before it and the ``lookahead`` rows after it, and
-those copies are dropped once the windows are computed. The cut is by row number, so gaps in time
-cannot leave a window short. A symbol then spreads over as many tasks as its length asks for, at
-any size of the table and without a look at its rows beforehand. ``segment_rows=None`` is the
+Time is cut into buckets, and bars are counted per symbol and bucket. The running counts cut every
+symbol into segments: runs of whole buckets of about ``segment_rows`` rows. They also tell which
+further buckets a segment needs so that ``lookback`` rows precede and ``lookahead`` rows follow its own;
+gaps in time and empty buckets only make that stretch of time longer. So a bar knows all its segments
+from its time alone: it is copied to them before the only shuffle that carries bars, and the copies
+are dropped once the windows are computed. A symbol spreads over as many tasks as its length asks
+for, at any size of the table and without a job while the plan is built. ``segment_rows=None`` is the
 caller's word that no symbol exceeds a task; windows are then partitioned by symbol alone.
 
+The segments are broadcast: only symbols of more than one are in that table, so it has at most two
+entries of 40 bytes per ``segment_rows`` bars (10 MB for 30 billion bars at the default).
+
 Rows are ordered by time and then by all other columns, so that copies of one instant get the same
-numbers in every run and every retry. Bars without a symbol are one series. Bars should be unique
+values in every run and every retry. Bars without a symbol are one series. Bars should be unique
 per (symbol, open_time); ``clean.dedup_bars`` makes them so.
 """
 
@@ -27,11 +32,14 @@ from barlab.functions.checks import require_columns
 from barlab.functions.timestamps import int_div, to_us
 from barlab.schema import MINUTE_MS
 
-# Windows cost far more than a shuffle, so short tasks are worth a second one; the margins are
-# half a percent of a segment.
+# A segment's margins are about a percent of it.
 SEGMENT_ROWS = 250_000
+# Buckets of unique bars in a segment: margins are whole buckets.
+BUCKETS = 64
+# Segments are searched in two steps: among groups of so many, then inside a group.
+_CHUNK = 64
 
-_POS, _SEGMENT, _OWN, _ROW = "_pos", "_segment", "_own", "_row"
+_POS, _SEGMENT, _OWN = "_pos", "_segment", "_own"
 
 
 @dataclass
@@ -42,13 +50,19 @@ class Series:
     keys: list[str]
     order: list[str] = field(default_factory=lambda: ["open_time"])
     block: int | None = None
+    _windows: dict[int, WindowSpec] = field(default_factory=dict)
 
     def ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        # A window is many calls into the JVM, so each is built once.
+        if 0 not in self._windows:
+            self._windows[0] = Window.partitionBy(*self.keys).orderBy(*self.order)
+        return self._windows[0]
 
     def last(self, n: int) -> WindowSpec:
         """The current row and the ``n - 1`` rows before it."""
-        return self.ordered().rowsBetween(-(n - 1), 0)
+        if n not in self._windows:
+            self._windows[n] = self.ordered().rowsBetween(-(n - 1), 0)
+        return self._windows[n]
 
     def with_columns(self, columns: dict[str, Column]) -> Series:
         return replace(self, df=self.df.withColumns(columns)) if columns else self
@@ -73,43 +87,65 @@ def full_order(df: DataFrame) -> list[str]:
     return ["open_time", *sorted(orderable)]
 
 
+def _bucket(bar_ms: int, segment_rows: int) -> Column:
+    """Time buckets that hold at most a ``BUCKETS``-th of a segment's rows, if bars are unique."""
+    width_us = bar_ms * 1000 * max(1, segment_rows // BUCKETS)
+    return F.coalesce(int_div(to_us("open_time"), width_us), F.lit(-(2**40)))
+
+
+def segment_table(df: DataFrame, lookback: int, lookahead: int, segment_rows: int, bar_ms: int) -> DataFrame:
+    """The segments of every symbol: ``first`` and ``last`` bucket of its own rows, ``low`` and ``high``
+    bucket of the rows that its windows need."""
+    counts = df.groupBy("symbol", _bucket(bar_ms, segment_rows).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    of_symbol = Window.partitionBy("symbol")
+    so_far = of_symbol.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_end", F.sum("_n").over(so_far))
+    counts = counts.withColumn("_start", F.col("_end") - F.col("_n")).withColumn(_SEGMENT, int_div("_start", segment_rows))
+    reach = {"_low": F.col("_bucket"), "_high": F.col("_bucket")}
+    if lookback:
+        # The first bucket with one of the last ``lookback`` rows up to the end of the bucket before.
+        by_end = of_symbol.orderBy("_end")
+        counts = counts.withColumn("_back", F.min("_bucket").over(by_end.rangeBetween(-(lookback - 1), 0)))
+        reach["_low"] = F.coalesce(F.lag("_back").over(by_end), "_bucket")
+    if lookahead:
+        by_start = of_symbol.orderBy("_start")
+        counts = counts.withColumn("_ahead", F.max("_bucket").over(by_start.rangeBetween(0, lookahead - 1)))
+        reach["_high"] = F.coalesce(F.lead("_ahead").over(by_start), "_bucket")
+    return (
+        counts.withColumns(reach)
+        .groupBy("symbol", _SEGMENT)
+        .agg(
+            F.min("_bucket").alias("first"), F.max("_bucket").alias("last"),
+            F.min("_low").alias("low"), F.max("_high").alias("high"),
+        )
+    )
+
+
 def _segments(
     df: DataFrame, lookback: int, lookahead: int, segment_rows: int, bar_ms: int, order: list[str]
 ) -> Series:
     if max(lookback, lookahead) > segment_rows:
         raise ValueError("a segment must be at least as long as its margins")
-    # A bucket of this width holds at most segment_rows unique bars.
-    bucket_us = bar_ms * 1000 * segment_rows
-    no_time = F.lit(-(2**40))
-    df = df.withColumn("_bucket", F.coalesce(int_div(to_us("open_time"), bucket_us), no_time))
-    # A struct is never NULL itself, so bars without a symbol join plainly.
-    df = df.withColumn("_of", F.struct("symbol"))
-    before = Window.partitionBy("_of").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        df.groupBy("_of", "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_of", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-        # Else the bars would follow this small side's layout, which is by symbol alone.
-        .repartition("_of", "_bucket")
-    )
-    # By symbol as well, so that a filter on it passes the window.
-    in_bucket = Window.partitionBy("symbol", "_of", "_bucket").orderBy(*order)
-    row = F.col("_start") + F.row_number().over(in_bucket) - 1
-    # The row number's window needs the same distribution as this join: one shuffle for both.
-    df = df.join(starts, ["_of", "_bucket"]).withColumn(_ROW, row)
-    own = int_div(_ROW, segment_rows)
-    offset = F.col(_ROW) - own * segment_rows
-    copies = F.filter(
-        F.array(
-            own,
-            F.when(offset >= segment_rows - lookback, own + 1),
-            F.when((offset < lookahead) & (own > 0), own - 1),
-        ),
-        lambda s: s.isNotNull(),
+    found = segment_table(df, lookback, lookahead, segment_rows, bar_ms)
+    found = found.withColumn("_parts", F.count(F.lit(1)).over(Window.partitionBy("symbol"))).filter("_parts > 1")
+    chunk = int_div(_SEGMENT, _CHUNK).alias("_chunk")
+    parts = found.select(
+        F.col("symbol").alias("_of"), chunk, F.col(_SEGMENT).alias("_found"),
+        *(F.col(c).alias(f"_{c}") for c in ("low", "high", "first", "last")),
+    )
+    chunks = parts.groupBy("_of", "_chunk").agg(F.min("_low").alias("_from"), F.max("_high").alias("_to"))
+    # Both have rows of symbols of several segments only; see the module's text for their bound.
+    placed = df.withColumn("_bucket", _bucket(bar_ms, segment_rows))
+    same = F.col("symbol").eqNullSafe(F.col("_of"))
+    within = F.col("_bucket").between(F.col("_from"), F.col("_to"))
+    placed = placed.join(F.broadcast(chunks), same & within, "left").drop("_of")
+    needed = (F.col("_chunk") == F.col("_in")) & F.col("_bucket").between(F.col("_low"), F.col("_high"))
+    placed = placed.join(F.broadcast(parts.withColumnRenamed("_chunk", "_in")), same & needed, "left")
+    own = F.col("_chunk").isNull() | F.col("_bucket").between(F.col("_first"), F.col("_last"))
+    placed = placed.select(
+        *df.columns, F.coalesce("_found", F.lit(0).cast("long")).alias(_SEGMENT), own.alias(_OWN)
     )
-    df = df.withColumn("_own_segment", own).withColumn(_SEGMENT, F.explode(copies))
-    df = df.withColumn(_OWN, F.col(_SEGMENT) == F.col("_own_segment"))
-    return Series(df.drop("_of", "_bucket", "_start", "_own_segment"), ["symbol", _SEGMENT], [_ROW])
+    return Series(placed, ["symbol", _SEGMENT], order)
 
 
 def over_series(
@@ -134,4 +170,4 @@ def over_series(
     else:
         built = build(_segments(bars, lookback, lookahead, segment_rows, bar_ms, order)).df
         built = built.filter(_OWN)
-    return built.drop(_POS, _SEGMENT, _OWN, _ROW, "_block", "_k")
+    return built.drop(_POS, _SEGMENT, _OWN, "_block", "_k")

@@ -2,46 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
 from barlab.functions.checks import require_columns
-from barlab.functions.timestamps import to_us
-from barlab.operators.ordered import running_totals
+from barlab.functions.timestamps import int_div, to_us
 from barlab.schema import HORIZON, TRAIN_FRACTION, VALIDATION_FRACTION
 
 SPLITS = ["train", "val", "test"]
 
 
+_SECOND, _DAY = 1_000_000, 86_400_000_000
+
+
 def split_boundaries(
     table: DataFrame,
     train_fraction: float = TRAIN_FRACTION,
     val_fraction: float = VALIDATION_FRACTION,
-    split: bool = True,
 ) -> DataFrame:
     """The times at which train and validation end: one row, ``train_end`` and ``val_end``.
 
-    Each is the order statistic min(int(n p), n - 1) of all rows' times, cut to seconds: rows
-    are counted per time, and the counts run up to the wanted place.
+    Each is the order statistic min(int(n p), n - 1) of all rows' times, cut to seconds. Rows are counted
+    per day; the running count finds the day that holds the wanted row. Only the rows of those two days
+    are then counted per second. The windows run over a row per day, and over a day's seconds.
     """
     require_columns(table, ["open_time"])
-    times = (
-        table.filter(F.col("open_time").isNotNull())
-        .groupBy(to_us("open_time").alias("us"))
+    us = to_us("open_time")
+    times = table.filter(F.col("open_time").isNotNull()).select(
+        int_div(us, _DAY).alias("day"), int_div(us, _SECOND).alias("second")
+    )
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    days = times.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    days = days.withColumns({"cum": F.sum("n").over(so_far), "total": F.sum("n").over(Window.partitionBy())})
+
+    def holding(p: float) -> Column:
+        """The day of the wanted row, and its place within the day."""
+        index = F.least(F.floor(F.col("total") * F.lit(p)), F.col("total") - 1)
+        place = F.struct(F.col("day"), (index - F.col("cum") + F.col("n")).alias("place"))
+        return F.min(F.when(F.col("cum") > index, place))
+
+    fractions = {"train_end": float(train_fraction), "val_end": float(train_fraction) + float(val_fraction)}
+    wanted = days.agg(*[holding(p).alias(name) for name, p in fractions.items()])
+    marked = times.withColumn("_w", wanted.select(F.struct(*fractions)).scalar())
+    seconds = (
+        marked.filter(F.col("day").isin(*[F.col("_w")[name]["day"] for name in fractions]))
+        .groupBy("day", "second", "_w")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(times, "us", ["n"], split=split)
+    in_day = Window.partitionBy("day").orderBy("second").rowsBetween(Window.unboundedPreceding, 0)
+    seconds = seconds.withColumn("cum", F.sum("n").over(in_day))
 
-    def boundary(p: float) -> Column:
-        index = F.least(F.floor(F.col("total_n") * F.lit(p)), F.col("total_n") - 1)
-        first = F.min(F.when(F.col("cum_n") > index, F.col("us")))
-        return F.date_trunc("second", F.timestamp_micros(first))
+    def boundary(name: str) -> Column:
+        w = F.col("_w")[name]
+        here = (F.col("day") == w["day"]) & (F.col("cum") > w["place"])
+        return F.timestamp_seconds(F.min(F.when(here, F.col("second")))).alias(name)
 
-    return ranked.agg(
-        boundary(float(train_fraction)).alias("train_end"),
-        boundary(float(train_fraction) + float(val_fraction)).alias("val_end"),
-    )
+    return seconds.agg(*[boundary(name) for name in fractions])
 
 
 def boundary_values(table: DataFrame, **fractions) -> tuple[str, str]:
@@ -83,16 +100,11 @@ def chrono_split(
 def chrono_split_by_fraction(
     table: DataFrame, purge_minutes: int = HORIZON, **fractions
 ) -> DataFrame:
-    """As ``chrono_split`` with boundaries taken from the table's own times."""
-    bounds = split_boundaries(table, **fractions)
-    joined = table.withColumns(
-        {
-            "_train_end": bounds.select("train_end").scalar(),
-            "_val_end": bounds.select("val_end").scalar(),
-        }
-    )
-    split = chrono_split(joined, F.col("_train_end"), F.col("_val_end"), purge_minutes)
-    return split.drop("_train_end", "_val_end")
+    """As ``chrono_split`` with boundaries taken from the table's own times; pass a stored table."""
+    bounds = split_boundaries(table, **fractions).select(F.struct("train_end", "val_end"))
+    joined = table.withColumn("_ends", bounds.scalar())
+    split = chrono_split(joined, F.col("_ends")["train_end"], F.col("_ends")["val_end"], purge_minutes)
+    return split.drop("_ends")
 
 
 def three_way(

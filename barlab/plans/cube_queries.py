@@ -9,6 +9,7 @@ from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS
+from barlab.session import materialize
 
 _CUBE_BODY = """cube AS (SELECT symbol, strftime(open_time, '%Y-%m') AS month,
     hour(open_time) AS hour, count(*) AS n, sum(close / open - 1) AS sum_r,
@@ -109,7 +110,8 @@ _MEDIAN_SQL = ", ".join(f"median({c}) AS median_{c}" for c in cube.COHORT_STATS)
     f"SELECT in_cohort, {q.rs(_MEDIANS, 6)} FROM m",
 )
 def cohort_medians(spark, d):
-    return emit(cube.cohort_medians(_flagged(spark, d)), "in_cohort", **rounded(_MEDIANS, 6))
+    flagged = materialize(_flagged(spark, d), "flagged")
+    return emit(cube.cohort_medians(flagged), "in_cohort", **rounded(_MEDIANS, 6))
 
 
 _TIER = """CASE WHEN in_top THEN 'listed' WHEN in_cohort THEN 'full history'
@@ -129,7 +131,7 @@ def tier_of_symbol(spark, d):
     f"SELECT tier, symbols, total_rows, {q.rs(_MEDIANS, 6)} FROM m",
 )
 def tier_summary(spark, d):
-    tiered = clean.with_tier(_flagged(spark, d), fx.TOP_GROUPS)
+    tiered = materialize(clean.with_tier(_flagged(spark, d), fx.TOP_GROUPS), "tiered")
     return emit(
         cube.tier_summary(tiered), "tier", "symbols", "total_rows", **rounded(_MEDIANS, 6)
     )

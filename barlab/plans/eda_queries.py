@@ -10,6 +10,7 @@ from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS, FEATURE_COLUMNS
+from barlab.session import materialize
 
 _FEAT = f"WITH {q.event_bars()}, {q.features()}, f AS (SELECT * FROM feat WHERE " + " AND ".join(
     f"{c} IS NOT NULL" for c in FEATURE_COLUMNS
@@ -21,8 +22,9 @@ _BOX_FEATURES = [
 
 
 def _features(spark, d):
+    """Complete features as a stored table: what reads it takes several passes."""
     table = features.feature_matrix(fx.hourly(spark, d), bar_ms=fx.HOUR_MS)
-    return drop_incomplete(table, FEATURE_COLUMNS)
+    return materialize(drop_incomplete(table, FEATURE_COLUMNS).select(*FEATURE_COLUMNS), "features")
 
 
 def _each(columns: list[str], select: str, source: str, tail: str = "") -> str:
@@ -156,7 +158,7 @@ _FIVE_DIGITS = rounded(list(eda.FIVE_NUMBERS), 5)
     f"{_FEAT}, b AS ({_each(FEATURE_COLUMNS, _FIVE, 'f')}) SELECT feature, {_FIVE_OUT} FROM b",
 )
 def box_stats(spark, d):
-    out = eda.box_stats(_features(spark, d), FEATURE_COLUMNS, few_groups=True)
+    out = eda.box_stats(_features(spark, d), FEATURE_COLUMNS)
     return emit(out, "feature", **_FIVE_DIGITS)
 
 
@@ -166,7 +168,7 @@ def box_stats(spark, d):
     f"SELECT feature, {q.big('target')}, {_FIVE_OUT} FROM b",
 )
 def box_stats_by_target(spark, d):
-    out = eda.box_stats(fx.labelled(spark, d), _BOX_FEATURES, ["target"], few_groups=True)
+    out = eda.box_stats(fx.labelled(spark, d), _BOX_FEATURES, ["target"])
     return emit(out, "feature", "target", **_FIVE_DIGITS)
 
 

@@ -10,6 +10,7 @@ from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS, FEATURE_COLUMNS, INDICATOR_COLUMNS
+from barlab.session import materialize
 
 EV = f"WITH {q.event_bars()}"
 KEY = f"symbol, {q.OPEN_MS}"
@@ -317,7 +318,9 @@ _SPLIT = f"{_LABELLED_BARS}, {q.BOUNDS.format(source='l')}, {q.SPLIT.format(sour
 
 
 def _labelled_bars(spark, d):
-    return features.direction_labels(fx.hourly(spark, d), **HOURS).dropna(subset=["target"])
+    """Labelled bars as a stored table: boundaries are read from it first."""
+    labelled = features.direction_labels(fx.hourly(spark, d), tie_break=[], **HOURS).dropna(subset=["target"])
+    return materialize(labelled.select("symbol", "open_time", "target"), "labelled-bars")
 
 
 @query(

@@ -207,6 +207,22 @@ def threshold_search(spark, d):
     return emit(table, "model", best_cutoff=6, best_balanced_accuracy=8)
 
 
+@query(
+    "threshold_missing_scores",
+    f"{BASE}, gaps AS (SELECT * FROM every_model WHERE hour(open_time) % 6 > 1), "
+    f"{_THRESHOLDS.replace('FROM every_model, grid', 'FROM gaps, grid')}, {_BEST} "
+    f"SELECT model, {q.r('best_cutoff', 6)}, {q.r('best_balanced_accuracy', 8)} FROM best",
+)
+def threshold_missing_scores(spark, d):
+    """A third of the rows has no score, a NaN or no truth: no cutoff counts them."""
+    hour = F.hour("open_time") % 6
+    up = F.col("y_true") == 1
+    score = F.when((hour == 1) & up, F.lit(float("nan"))).when(hour > 0, F.col("y_prob"))
+    truth = F.when((hour != 1) | up, F.col("y_true"))
+    table = fx.every_model(spark, d).withColumns({"y_prob": score, "y_true": truth})
+    return emit(metrics.threshold_search(table, ["model"]), "model", best_cutoff=6, best_balanced_accuracy=8)
+
+
 _SETTINGS = """settings AS (SELECT model, 'default' AS setting, 0.5::DOUBLE AS cutoff FROM best
   UNION ALL SELECT model, 'tuned', best_cutoff FROM best),
 compared AS (SELECT m.model, setting, cutoff, y_true, y_prob,

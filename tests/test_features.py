@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
 from barlab.operators import ema, features, rolling, sequences
-from barlab.operators.series import over_series
+from barlab.operators.series import over_series, segment_table
 from barlab.schema import FEATURE_COLUMNS, INDICATOR_COLUMNS
 from tests.conftest import minute_bars
 
@@ -83,6 +83,31 @@ def test_segments_give_the_same_rolling_values_and_labels(walk, segment_rows):
         assert row["null_mismatches"] == 0 and row["max_abs_diff"] < 1e-9
 
 
+def test_segments_hold_the_rows_their_windows_need(spark):
+    """Buckets of two rows, two of them empty: margins count rows, whatever the gaps."""
+    minutes = [*range(128), *range(300, 340), *range(1000, 1200)]
+    frame = minute_bars("S", np.arange(1200.0)).iloc[minutes]
+    bars = spark.createDataFrame(pd.concat([frame, minute_bars("SHORT", np.arange(50.0))]))
+    got = segment_table(bars, 5, 3, 128, 60_000).orderBy("symbol", "first").collect()
+    # Buckets of 128 // 64 = 2 minutes; segments start at the buckets of rows 0, 128 and 256.
+    day = int(pd.Timestamp("2024-01-01").timestamp()) // 120
+    assert [(*r[:2], *(b - day for b in r[2:])) for r in got] == [
+        ("S", 0, 0, 63, 0, 151),
+        ("S", 1, 150, 543, 61, 545),
+        ("S", 2, 544, 599, 541, 599),
+        ("SHORT", 0, 0, 24, 0, 24),
+    ]
+
+
+def test_a_bucket_of_many_copies_is_one_segment(spark):
+    """More rows of one instant than a segment has: margins still hold every row that is needed."""
+    frame = pd.concat([minute_bars("S", np.arange(40.0)), *[minute_bars("S", [7.0 + i]) for i in range(300)]])
+    table = spark.createDataFrame(frame)
+    whole = rolling.sma(table, (20,), segment_rows=None).select("open_time", "close", "sma_20")
+    cut = rolling.sma(table, (20,), segment_rows=64).select("open_time", "close", "sma_20")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
 def test_sparse_segments_reach_back_over_gaps(spark):
     # One bar a day for a long time: every time bucket is nearly empty.
     frame = minute_bars("GAPUSDT", 100 + np.sin(np.arange(400)))

@@ -171,3 +171,42 @@ def test_report_and_json(spark, tmp_path):
     overall = next(d for d in lines if d["scope"] == "overall")
     assert overall["confusion_matrix"] == {"tn": 50, "fp": 0, "fn": 0, "tp": 50}
     assert isinstance(overall["metrics"]["accuracy"], float)
+
+
+def test_report_equals_its_parts(spark):
+    """One grouping of three scopes gives what three evaluations give; rows without a regime count elsewhere."""
+    rng = np.random.default_rng(4)
+    n = 300
+    vol = np.where(rng.random(n) < 0.1, np.nan, rng.lognormal(0, 1, n))
+    table = predictions(
+        spark, rng.integers(0, 2, n), rng.integers(0, 2, n), np.round(rng.random(n), 2),
+        symbol=[["A", "B", "C"][i % 3] for i in range(n)], volatility_30=list(vol),
+    )
+    table = table.withColumn("volatility_30", F.nanvl("volatility_30", F.lit(None).cast("double")))
+    table = table.withColumn("symbol", F.when(F.col("symbol") != "C", F.col("symbol")))
+    report = metrics.evaluation_report(table)
+    got = {(r["scope"], r["group_name"], r["metric"]): r["value"] for r in report.collect()}
+    names = ["count", *metrics.CONFUSION, *metrics.RATES, *metrics.RANKING]
+    parts = {
+        "overall": {"all": metrics.evaluate(table).first()},
+        "per_symbol": {r["symbol"]: r for r in metrics.metrics_by_symbol(table).collect()},
+        "volatility_regimes": {r["regime"]: r for r in metrics.metrics_by_regime(table).collect()},
+    }
+    want = {}
+    for scope, groups in parts.items():
+        more = ["min_val", "max_val"] if scope == "volatility_regimes" else []
+        want |= {(scope, g, m): float(r[m]) for g, r in groups.items() for m in [*names, *more]}
+    assert set(got) == set(want) and None in parts["per_symbol"]
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Expand" in final and "ReusedExchange" in final
+
+
+def test_cutoffs_do_not_count_missing_scores(spark):
+    """What ``evaluate`` leaves out is left out of every cutoff's counts too."""
+    rows = [(1, 0.9), (0, 0.1), (1, None), (0, float("nan")), (None, 0.7)]
+    table = spark.createDataFrame(rows, "y_true int, y_prob double")
+    got = metrics.threshold_metrics(table, grid=[0.5]).first()
+    assert (got["tn"], got["fp"], got["fn"], got["tp"]) == (1, 0, 0, 1)
+    whole = metrics.evaluate(metrics.with_direction(table)).first()
+    assert [whole[c] for c in metrics.CONFUSION] == [got[c] for c in metrics.CONFUSION]

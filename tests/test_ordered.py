@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barlab.operators import cube, eda, splits
+from barlab.operators import cube, eda, ordered, splits
 from barlab.operators.ordered import exact_quantiles, running_totals
 
 
@@ -71,7 +71,7 @@ def test_quantiles_of_a_constant_and_of_nothing(spark):
 
 def test_moments_match_pandas(spark):
     frame = pd.DataFrame({"x": skewed(900), "c": 2.0})
-    out = eda.feature_stats(spark.createDataFrame(frame), ["x", "c"], split=True)
+    out = eda.feature_stats(spark.createDataFrame(frame), ["x", "c"])
     got = {r["feature"]: r for r in out.collect()}
     x = frame["x"]
     assert got["x"]["mean"] == pytest.approx(x.mean())
@@ -87,14 +87,64 @@ def test_outliers_and_boxes(spark):
     table = spark.createDataFrame(frame)
     q25, q75 = np.quantile(frame.x, [0.25, 0.75])
     low, high = q25 - 1.5 * (q75 - q25), q75 + 1.5 * (q75 - q25)
-    for split in (True, False):
-        row = eda.iqr_outliers(table, ["x"], split=split).first()
-        assert row["outliers"] == ((frame.x < low) | (frame.x > high)).sum()
-        assert row["outlier_pct"] == pytest.approx(row["outliers"] / 9)
-        boxes = eda.box_stats(table, ["x"], ["target"], few_groups=True, split=split)
-        for r in boxes.collect():
-            want = np.quantile(frame.x[frame.target == r["target"]], [0, 0.25, 0.5, 0.75, 1])
-            assert np.allclose(list(r[2:]), want)
+    row = eda.iqr_outliers(table, ["x"]).first()
+    assert row["outliers"] == ((frame.x < low) | (frame.x > high)).sum()
+    assert row["outlier_pct"] == pytest.approx(row["outliers"] / 9)
+    for r in eda.box_stats(table, ["x"], ["target"]).collect():
+        want = np.quantile(frame.x[frame.target == r["target"]], [0, 0.25, 0.5, 0.75, 1])
+        assert np.allclose(list(r[2:]), want)
+
+
+@pytest.mark.parametrize("collect", [20_000, 100])
+def test_wide_quantiles_equal_numpy(spark, monkeypatch, collect):
+    """Ties, NULLs, an empty column and a NaN; with small brackets every quantile takes several scans."""
+    monkeypatch.setattr(ordered, "COLLECT", collect)
+    rng = np.random.default_rng(11)
+    n = 30_000
+    frame = pd.DataFrame(
+        {
+            "x": np.concatenate([np.full(n // 3, 3.0), rng.normal(0, 1, n // 3), rng.lognormal(0, 4, n // 3)]),
+            "few": np.where(np.arange(n) % 1000 == 0, np.arange(n) * 1.0, np.nan),
+            "whole": rng.integers(0, 5, n),
+            "g": np.where(np.arange(n) % 10 == 0, "a", None),
+        }
+    ).sample(frac=1, random_state=3)
+    table = spark.createDataFrame(frame).withColumn("few", F.nanvl("few", F.lit(None).cast("double")))
+    table = table.withColumn("none", F.lit(None).cast("double")).repartition(6)
+    p = [0.0, 0.001, 0.25, 1 / 3, 0.5, 2 / 3, 0.9, 0.9999, 1.0]
+    wanted = {c: p for c in ("x", "few", "whole", "none")}
+    for by in ([], ["g"]):
+        found = ordered.wide_quantiles(table, wanted, by, [F.count(F.lit(1)).alias("rows")])
+        assert found.scans <= (2 if collect == 20_000 else 6)
+        for group, got in found.quantiles.items():
+            own = frame if not by else frame[frame.g.isna() if group[0] is None else frame.g == group[0]]
+            assert found.also[group]["rows"] == len(own)
+            for c in ("x", "few", "whole"):
+                if own[c].isna().all():
+                    assert got[c] == [None] * len(p)
+                    continue
+                assert np.allclose(got[c], np.quantile(own[c].dropna(), p), rtol=1e-12, atol=1e-12), (c, group)
+            assert got["none"] == [None] * len(p)
+
+
+def test_a_missed_bracket_is_opened_again():
+    b = ordered._Bracket("x", 0.5, 101, low=10.0, high=12.0, most=3)
+    b.settle(90, 91, [11.0], 93)  # 90 of 101 values are below: the middle is not inside
+    assert b.value is None and b.low is None and b.most == float("inf")
+    b.narrow(0, [float(i) / 10 for i in range(1001)], 101)
+    assert b.low < 50 < b.high
+
+
+def test_quantiles_of_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_GROUPS", 3)
+    rows = [(i % 7, float(i * i % 97), float(i)) for i in range(200)]
+    table = spark.createDataFrame(rows, "g long, x double, y double")
+    got = ordered.grouped_quantiles(table, {"x": [0.5], "y": [0.25, 0.9]}, ["g"]).collect()
+    frame = pd.DataFrame(rows, columns=["g", "x", "y"])
+    for r in got:
+        want = np.quantile(frame[r["feature"]][frame.g == r["g"]], [0.5] if r["feature"] == "x" else [0.25, 0.9])
+        assert np.allclose(r["quantiles"], want)
+    assert len(got) == 14
 
 
 def test_correlation_with_a_constant_column(spark):
@@ -131,8 +181,8 @@ def test_series_slice_cuts_before_the_shuffle(spark, walk):
 def test_boundaries_are_exact_order_statistics(spark, n):
     times = pd.date_range("2024-01-01", periods=n, freq="7h")
     table = spark.createDataFrame(pd.DataFrame({"open_time": times}))
-    for split in (None, True):
-        first, second = splits.boundary_values(table, split=split)
+    for cut in (table, table.repartition(3)):
+        first, second = splits.boundary_values(cut)
         assert first == str(times[int(n * 0.7)]) and second == str(times[int(n * (0.7 + 0.15))])
 
 
@@ -155,9 +205,9 @@ def test_purge_drops_minutes_after_each_boundary(spark):
     assert splits.three_way(table, "2024-01-01 00:30:00", "2025-01-01")[2].count() == 0
 
 
-def test_group_medians_in_both_ways(spark):
+def test_group_medians(spark):
     rows = [(i % 3 == 0, float(i), float(-i), 0.5, i / 7) for i in range(50)]
     schema = "in_cohort boolean, quote_vol_per_day double, std_r double, up_share double, taker_ratio double"
     table = spark.createDataFrame(rows, schema)
-    a, b = (sorted(cube.cohort_medians(table, split=s).collect()) for s in (True, False))
-    assert a == b and len(a) == 2
+    got = {r["in_cohort"]: r["median_quote_vol_per_day"] for r in cube.cohort_medians(table).collect()}
+    assert got == {True: 24.0, False: 25.0}

@@ -19,7 +19,7 @@ def test_features_take_one_shuffle_and_no_python(spark):
     assert "Python" not in text
 
 
-def test_segments_shuffle_the_bars_twice(spark):
+def test_segments_shuffle_the_bars_once(spark):
     bars = fx.read_bars_table(spark, D)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
@@ -27,11 +27,10 @@ def test_segments_shuffle_the_bars_twice(spark):
         text = plan(features.feature_matrix(bars, segment_rows=5000, bar_ms=DAY_MS))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    # Two shuffles carry bars (number, then window); three carry one row per bucket, and only
-    # a shuffle of those is by symbol alone.
+    # One shuffle carries bars; the others carry a row per bucket, and the segments are broadcast.
     exchanges = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
-    assert len(exchanges) == 5 and sum("_segment" in x for x in exchanges) == 1
-    assert sum("_bucket" in x for x in exchanges) == 3
+    assert sum("_segment" in x for x in exchanges) == 1 and "Exchange rangepartitioning" not in text
+    assert text.count("BroadcastExchange") == 2
     assert "Python" not in text
 
 
