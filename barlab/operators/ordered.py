@@ -307,7 +307,7 @@ def wide_quantiles(
     """
     by = list(by or [])
     x = {c: F.col(c).cast("double") for c in wanted}
-    steps = [i / _PARTS for i in range(_PARTS + 1)]
+    steps = F.lit([i / _PARTS for i in range(_PARTS + 1)])
 
     def sketch(value: Column) -> Column:
         return F.percentile_approx(value, steps, SKETCH_ACCURACY)
@@ -337,7 +337,7 @@ def wide_quantiles(
         places = [j for j in range(many) if any(_is_open(g[j]) for g in brackets.values())]
         if not places:
             break
-        counted = _count_brackets(table, by, brackets, places, x, sketch)
+        counted = _count_brackets(table, by, brackets, places, sketch)
         out.scans += 1
         for r in counted:
             own = brackets[tuple(r[c] for c in by)]
@@ -362,7 +362,7 @@ def _is_open(b: _Bracket) -> bool:
     return b.n > 0 and b.value is None
 
 
-def _count_brackets(table, by, brackets, places, x, sketch):
+def _count_brackets(table, by, brackets, places, sketch):
     """One scan: per group and place j, counts below (a), up to the low end (b), strictly inside (c) and
     up to the high end (d), and either the values inside (v) or their cut (t)."""
     spark = table.sparkSession
@@ -382,26 +382,27 @@ def _count_brackets(table, by, brackets, places, x, sketch):
         placed = table.join(F.broadcast(limits), same)  # at most MAX_GROUPS rows
     else:
         low, high = ends[()]
-        as_array = lambda v: F.array(*[F.lit(e).cast("double") for e in v])
-        placed = table.withColumns({"_low": as_array(low), "_high": as_array(high)})
+        as_text = lambda v: ", ".join("NULL" if e is None else f"CAST('{e!r}' AS DOUBLE)" for e in v)
+        arrays = {n: F.expr(f"CAST(array({as_text(v)}) AS ARRAY<DOUBLE>)") for n, v in (("_low", low), ("_high", high))}
+        placed = table.withColumns(arrays)
     parts = []
     most = max(100, min(COLLECT, COLLECT_ALL // (len(places) * len(brackets))))
     for k, j in enumerate(places):
+        # SQL text: one call into the JVM for each aggregate, of which there may be hundreds.
         column = next(own[j].column for own in brackets.values())
-        v, low, high = x[column], F.col("_low")[k], F.col("_high")[k]
-        over = F.coalesce(v > low, v.isNotNull())
-        inside = over & F.coalesce(v < high, v.isNotNull())
+        v, low, high = f"CAST(`{column}` AS DOUBLE)", f"_low[{k}]", f"_high[{k}]"
+        known = f"{v} IS NOT NULL"
         few = all(own[j].most <= most for own in brackets.values() if _is_open(own[j]))
         parts += [
-            F.count_if(F.coalesce(v < low, F.lit(False))).alias(f"a{j}"),
-            F.count_if(F.coalesce(v <= low, F.lit(False))).alias(f"b{j}"),
-            F.count_if(F.coalesce(v <= high, v.isNotNull())).alias(f"d{j}"),
+            F.expr(f"count_if(coalesce({v} < {low}, false)) AS a{j}"),
+            F.expr(f"count_if(coalesce({v} <= {low}, false)) AS b{j}"),
+            F.expr(f"count_if(coalesce({v} <= {high}, {known})) AS d{j}"),
         ]
-        taken = F.when(inside, v)
+        taken = f"CASE WHEN coalesce({v} > {low}, {known}) AND coalesce({v} < {high}, {known}) THEN {v} END"
         if few:
-            parts += [F.collect_list(taken).alias(f"v{j}"), F.lit(None).alias(f"t{j}"), F.lit(0).alias(f"c{j}")]
+            parts += [F.expr(f"collect_list({taken}) AS v{j}"), F.expr(f"NULL AS t{j}"), F.expr(f"0 AS c{j}")]
         else:
-            parts += [F.lit(None).alias(f"v{j}"), sketch(taken).alias(f"t{j}"), F.count(taken).alias(f"c{j}")]
+            parts += [F.expr(f"NULL AS v{j}"), sketch(F.expr(taken)).alias(f"t{j}"), F.expr(f"count({taken}) AS c{j}")]
     return placed.groupBy(*by).agg(*parts).collect()
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barlab.functions.timestamps import to_ms
-from barlab.models import baselines, pipeline, sequence
+from barlab.models import baselines, pipeline, sequence, trees
 from barlab.operators import metrics, splits
 from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
@@ -138,12 +138,71 @@ def train_pipeline(spark, d):
     return _wide(trained.metrics.join(cutoffs, "model"), "model", "cutoff")
 
 
-@query("mllib_metrics")
+_WEIGHTED = ["accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "area_under_roc", "area_under_pr"]
+_CURVE = """curve AS (SELECT DISTINCT y_prob,
+    sum(y_true) OVER (ORDER BY y_prob DESC RANGE UNBOUNDED PRECEDING)::DOUBLE AS tp_at,
+    sum(1 - y_true) OVER (ORDER BY y_prob DESC RANGE UNBOUNDED PRECEDING)::DOUBLE AS fp_at FROM preds),
+steps AS (SELECT *, coalesce(lag(tp_at) OVER w, 0) AS tp_0, coalesce(lag(fp_at) OVER w, 0) AS fp_0,
+    tp_at / (tp_at + fp_at) AS prec FROM curve WINDOW w AS (ORDER BY y_prob DESC)),
+areas AS (SELECT sum((fp_at - fp_0) * (tp_at + tp_0) / 2) / (max(tp_at) * max(fp_at)) AS area_under_roc,
+    sum((tp_at - tp_0) * (prec + CASE WHEN tp_0 + fp_0 = 0 THEN prec ELSE tp_0 / (tp_0 + fp_0) END) / 2)
+    / max(tp_at) AS area_under_pr FROM steps)"""
+
+
+@query(
+    "mllib_metrics",
+    f"WITH {q.event_bars()}, {q.labelled()}, {q.PREDICTIONS.format(source='labelled')}, "
+    f"{q.confusion('preds', [])}, {_CURVE}, w AS (SELECT *, (tp + fn)::DOUBLE / count AS w1, (tn + fp)::DOUBLE / count AS w0 "
+    "FROM conf), m AS (SELECT (tp + tn)::DOUBLE / count AS accuracy, "
+    "w1 * coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0) + w0 * coalesce(tn / nullif(tn + fn, 0)::DOUBLE, 0) AS weighted_precision, "
+    "(tp + tn)::DOUBLE / count AS weighted_recall, w1 * coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0) "
+    "+ w0 * coalesce(2 * tn / nullif(2 * tn + fp + fn, 0)::DOUBLE, 0) AS weighted_f1 FROM w) "
+    f"SELECT {q.rs(_WEIGHTED, 8)} FROM m, areas",
+)
 def mllib_metrics(spark, d):
+    return emit(metrics.weighted_metrics(fx.predictions(spark, d)), **rounded(_WEIGHTED, 8))
+
+
+@query(
+    "mllib_evaluators",
+    " UNION ALL ".join(f"SELECT '{m}' AS metric, TRUE AS agrees" for m in _WEIGHTED),
+)
+def mllib_evaluators(spark, d):
+    """MLlib's evaluators on a fitted model beside the closed forms on its scores."""
     train, val, _ = _parts(spark, d)
     stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.logistic()]
-    values = pipeline.mllib_metrics(Pipeline(stages=stages).fit(train), val)
-    return spark.createDataFrame(sorted(values.items()), "metric string, value double")
+    model = Pipeline(stages=stages).fit(train)
+    values = pipeline.mllib_metrics(model, val)
+    own = metrics.weighted_metrics(materialize(pipeline.score(model, val), "scored")).first()
+    rows = [(m, abs(values[m] - own[m]) < 1e-6) for m in _WEIGHTED]
+    return spark.createDataFrame(rows, "metric string, agrees boolean")
+
+
+@query(
+    "forest_nodes",
+    f"{_PARTS} SELECT count(*) AS rows, 0::BIGINT AS different, TRUE AS importance_agrees, "
+    "1.0::DOUBLE AS importance_total FROM parts WHERE split = 'val'",
+)
+def forest_nodes(spark, d):
+    """A forest read back as a table of nodes: the same directions and importance as MLlib's."""
+    train, val, _ = _parts(spark, d)
+    stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.forest(trees=20, depth=6)]
+    model = Pipeline(stages=stages).fit(train)
+    path = scratch_dir(spark, "forest")
+    model.stages[-1].write().overwrite().save(path)
+    nodes = materialize(trees.read_nodes(spark, path), "nodes")
+    scored = materialize(model.transform(val).select("symbol", "open_time", "features", "prediction"), "scored")
+    votes = trees.forest_votes(scored, nodes, ["symbol", "open_time"])
+    up = (F.col("y_prob") > 0.5).cast("double")
+    compared = scored.join(votes, ["symbol", "open_time"], "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~up.eqNullSafe(F.col("prediction"))).alias("different")
+    )
+    given = model.stages[-1].featureImportances.toArray()
+    own = {r.feature: r.importance for r in trees.importance(nodes).collect()}  # one row a feature
+    agrees = all(abs(own.get(i, 0.0) - v) < 1e-9 for i, v in enumerate(given))
+    return compared.select(
+        "rows", "different", F.lit(agrees).alias("importance_agrees"), F.lit(round(sum(own.values()), 9)).alias("importance_total")
+    )
 
 
 @query("feature_importance")
@@ -152,6 +211,20 @@ def feature_importance(spark, d):
     return pipeline.feature_importance(pipeline.train_pipeline(train, val), spark)
 
 
+@query(
+    "top_coefficients",
+    "SELECT 5::BIGINT AS rows, TRUE AS largest, TRUE AS descending",
+)
+def top_coefficients(spark, d):
+    """The five logistic coefficients largest in size, beside all sixteen of the model."""
+    train, val, _ = _parts(spark, d)
+    trained = pipeline.train_pipeline(train, val)
+    top = [abs(r.lr_coefficient) for r in pipeline.top_coefficients(trained, spark).collect()]
+    given = sorted(map(abs, trained.models[pipeline.LOGISTIC].stages[-1].coefficients.toArray()), reverse=True)
+    rows = [(len(top), bool(sorted(top) == sorted(given[:5])), top == sorted(top, reverse=True))]
+    return spark.createDataFrame(rows, "rows long, largest boolean, descending boolean")
+
+
 @query("overfit_check")
 def overfit_check(spark, d):
     table = _split_table(spark, d)

@@ -18,6 +18,8 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot never compiles longer methods: wide window chains run several times faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -1,10 +1,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barlab.errors import DataValidationError
-from barlab.models import baselines, pipeline, sequence
+from barlab.models import baselines, pipeline, sequence, trees
 from barlab.operators import metrics, splits
 from barlab.sources import sinks
 
@@ -143,3 +144,49 @@ def test_sweep_says_which_windows_do_not_fit(parts):
     results, winner = sequence.config_sweep(named(table, "train"), named(table, "val"), configs, FEATURES)
     assert winner is None
     assert [tuple(r) for r in results.collect()] == [("long", 100_000, 4, None, None, sequence.TOO_FEW)]
+
+
+def test_weighted_metrics_equal_mllib(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+
+    rng = np.random.default_rng(8)
+    score = np.round(rng.random(400), 1)  # ties
+    y = (rng.random(400) < score).astype(int)
+    frame = pd.DataFrame({"y_true": y, "y_prob": score, "y_pred": (score >= 0.5).astype(int)})
+    table = spark.createDataFrame(frame).withColumns(
+        {"y": F.col("y_true").cast("double"), "p": F.col("y_pred").cast("double")}
+    )
+    got = metrics.weighted_metrics(table).first()
+    names = {"accuracy": "accuracy", "weightedPrecision": "weighted_precision", "weightedRecall": "weighted_recall",
+             "f1": "weighted_f1"}
+    for name, own in names.items():
+        e = MulticlassClassificationEvaluator(labelCol="y", predictionCol="p", metricName=name)
+        assert got[own] == pytest.approx(e.evaluate(table), abs=1e-12)
+    for name, own in {"areaUnderROC": "area_under_roc", "areaUnderPR": "area_under_pr"}.items():
+        e = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="y_prob", metricName=name, numBins=0)
+        assert got[own] == pytest.approx(e.evaluate(table), abs=1e-9)
+    one = metrics.weighted_metrics(table.filter("y_true = 1")).first()
+    assert one["area_under_roc"] == 0.5 and one["area_under_pr"] == 0.5 and one["weighted_recall"] == one["accuracy"]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_a_saved_forest_is_a_table_of_nodes(spark, tmp_path, monkeypatch, limit):
+    from pyspark.ml.feature import VectorAssembler
+
+    monkeypatch.setattr(trees, "BROADCAST_NODES", limit)
+    rng = np.random.default_rng(6)
+    frame = pd.DataFrame(rng.normal(size=(300, 3)), columns=list("abc"))
+    frame["target"] = (frame.a + frame.b**2 > 0.5).astype(float)
+    frame["id"] = range(300)
+    rows = VectorAssembler(inputCols=list("abc"), outputCol="features").transform(spark.createDataFrame(frame))
+    model = pipeline.forest(trees=4, depth=3).fit(rows)
+    model.write().overwrite().save(str(tmp_path / "forest"))
+    nodes = trees.read_nodes(spark, str(tmp_path / "forest"))
+    got = {r.id: r.y_prob for r in trees.forest_votes(rows, nodes, ["id"]).collect()}
+    want = model.transform(rows).select("id", vector_to_array("probability")[1]).collect()
+    assert len(got) == 300 and all(got[i] == pytest.approx(p, abs=1e-12) for i, p in want)
+    gains = {r.feature: r.importance for r in trees.importance(nodes).collect()}
+    given = model.featureImportances.toArray()
+    assert all(gains.get(i, 0) == pytest.approx(v, abs=1e-9) for i, v in enumerate(given))
+    with pytest.raises(DataValidationError):
+        trees.forest_votes(rows, nodes.filter("tree < 0"), ["id"])
