@@ -318,7 +318,7 @@ def threshold_metrics(
 
     Scores are reduced to how many cutoffs they reach, so a group carries at most
     len(grid) + 1 counts however many rows it has. Rows without a truth or a score are left out, as in
-    all metrics; a group of such rows alone has none.
+    all metrics; a group of such rows alone has counts of 0.
     """
     by = list(by or [])
     grid = threshold_grid() if grid is None else sorted(grid)
@@ -327,8 +327,9 @@ def threshold_metrics(
     y = F.col("y_true")
     score = F.col("y_prob").cast("double")
     known = F.coalesce(y.isin(0, 1) & score.isNotNull() & ~F.isnan(score), F.lit(False))
-    counts = predictions.filter(known).groupBy(*by, reached.alias("reached")).agg(
-        _count_if(y == 1).alias("pos"), _count_if(y == 0).alias("neg")
+    # No filter: it could be pushed below what makes the rows, and so run a model on rows that it drops.
+    counts = predictions.groupBy(*by, reached.alias("reached")).agg(
+        _count_if(known & (y == 1)).alias("pos"), _count_if(known & (y == 0)).alias("neg")
     )
     packed = counts.groupBy(*by).agg(F.collect_list(F.struct("reached", "pos", "neg")).alias("c"))
 
