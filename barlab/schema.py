@@ -11,6 +11,7 @@ DAY_MS = 86_400_000
 MICROSECOND_CUTOFF = 10**15
 
 # Positional columns of a raw bar file, which has no header and no symbol column.
+# The columns of a raw bar file, by position.
 RAW_BAR_SCHEMA = T.StructType(
     [
         T.StructField("_c0", T.LongType()),
@@ -29,6 +30,7 @@ RAW_BAR_SCHEMA = T.StructType(
 )
 
 # Name of each raw position in the canonical bar table.
+# Places of the raw columns.
 RAW_POSITIONS = {
     "_c0": "open_time",
     "_c1": "open",
@@ -46,17 +48,20 @@ RAW_POSITIONS = {
 BAR_COLUMNS = [*RAW_POSITIONS.values(), "symbol"]
 OHLCV_COLUMNS = ["open", "high", "low", "close", "volume"]
 
+# Names and order of the indicators.
 INDICATOR_COLUMNS = [
     "sma_15", "sma_50", "ema_15", "ema_50", "log_return",
     "macd_line", "macd_signal", "macd_hist",
     "bb_middle", "bb_upper", "bb_lower", "volatility_30", "rsi_14",
 ]
 
+# Names and order of the relative indicators.
 STATIONARY_COLUMNS = [
     "close_to_sma_15", "close_to_sma_50", "close_to_ema_15", "close_to_ema_50",
     "bb_position", "macd_line_norm", "macd_signal_norm", "macd_hist_norm",
 ]
 
+# Names and order of the flow features.
 FLOW_COLUMNS = ["taker_buy_ratio", "volume_z30", "trades_z30", "hour_sin", "hour_cos"]
 
 # The sixteen model inputs, in model order (fixed values).
