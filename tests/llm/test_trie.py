@@ -149,7 +149,7 @@ def test_shards_are_bounded(spark):
         assert len(lens) == 1 or len(lens) * max(lens) <= 20 and len(lens) <= 3
 
 
-def test_no_window_holds_a_conversation(spark):
+def test_turns_are_numbered_in_order(spark):
     data = [(c, t, "u", f"t{t}") for c in (100, 101) for t in range(3)]
     numbered = prefix_trie.turns(table(spark, data))
     assert sorted(map(tuple, numbered.select("conv_id", "place").collect())) == sorted((c, t + 1) for c, t, *_ in data)
