@@ -8,12 +8,13 @@ documents that have a term.
 
 Items are taken in blocks. For each block, one scan of the texts writes per document its length and how
 often it holds the block's terms; all later steps read that table. In a task, documents come in batches.
-Of a batch, documents that cannot reach any item's k-th score by the maxima of all items are dropped; the
-others are ordered by their heaviest term and cut into a tree of leaves and groups; items are ordered by
-the score that they have to beat and cut likewise. Every node of either tree holds coordinate maxima: of
-impacts, or of weights. The product of two nodes' maxima bounds every score between them. A pair of nodes
-whose bound is below the weakest k-th score among the node's items is dropped with all its documents; the
-others are split until single documents are scored, those of the highest bound first. So nothing is lost. A first search over one document in ``SEED`` gives k-th scores from which the search
+Of a batch, documents that cannot reach any item's k-th score by the maxima of all items are dropped;
+the others are ordered by their heaviest term and cut into a tree of leaves and groups; items are
+ordered by the score that they have to beat and cut likewise. Every node of either tree holds coordinate
+maxima: of impacts, or of weights. The product of two nodes' maxima bounds every score between them. A
+pair of nodes whose bound is below the weakest k-th score among the node's items is dropped with all its
+documents; the others are split until single documents are scored, those of the highest bound first. So
+nothing is lost. A first search over one document in ``SEED`` gives k-th scores from which the search
 over all documents starts, so that tasks return few rows.
 
 Terms are known by 64-bit hashes. Defined results: NULL texts have no terms; documents without a term do
