@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.llm.shared import id_hash, need, prepare, shuffle_parts
+from barlab.llm.shared import BROADCAST_KEYS, id_hash, need, prepare, shuffle_parts
 from barlab.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -125,7 +125,7 @@ def cut(rows: DataFrame, ranges: int, repeats: int = REPEATS) -> tuple[int | Non
     return found[0], None if last is None else tuple(last)
 
 
-def mix(
+def queue(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     share: float = SHARE,
@@ -133,13 +133,8 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
-) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words, repeats counted) of every row.
-
-    NULL texts have no words; NULL sources are one source, ordered last; rows without id are
-    shuffled to one place. Equal rows are taken together or not at all. Other columns are ignored;
-    an empty table gives no rows.
-    """
+) -> tuple[DataFrame, list[Column]]:
+    """All rows in their sources' orders (a stored table), and per round whether the mix takes the copy."""
     need(docs, id_column, text_column, source_column)
     spark = docs.sparkSession
     prepare(spark)
@@ -156,29 +151,67 @@ def mix(
     rows = materialize(finish_times(sizes, targets, parts), "queue")
     ranges = 64 * parts
     slot, last = cut(rows, ranges, repeats)
-    copies = F.lit(0)
+    rounds = []
     for t in _times(repeats):
         taken = F.lit(True) if slot is None else _slot(t, ranges) < slot
         if last is not None:
             kinds = ("double", "string", "long", "long", "long")
             taken = taken | (_order(t) <= F.struct(*(F.lit(v).cast(k) for v, k in zip(last, kinds))))
-        copies = copies + F.when(t.isNotNull() & taken, 1).otherwise(0)
+        rounds.append(t.isNotNull() & taken)
+    return rows, rounds
+
+
+def mix(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id, size, source_size, target and taken (words, repeats counted) of every row.
+
+    ``settings`` are those of ``queue``. NULL texts have no words; NULL sources are one source, ordered
+    last; rows without id are shuffled to one place. Equal rows are taken together or not at all. Other
+    columns are ignored; an empty table gives no rows.
+    """
+    rows, rounds = queue(docs, **settings)
+    copies = F.lit(0)
+    for taken in rounds:
+        copies = copies + F.when(taken, 1).otherwise(0)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
 
 
+def _place() -> Column:
+    """A document's place in its source's order, which virtual time follows."""
+    return F.struct("h", F.coalesce("doc_id", F.lit(-1)).alias("i"), "size")
 
-def mixed(docs: DataFrame, id_column: str = "doc_id", **settings) -> DataFrame:
-    """The rows and columns of ``docs`` as often as the mix takes them.
 
-    Documents without words are not taken. Rows that share an id are taken as often as the one
-    that is taken most.
+def mixed(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    **settings,
+) -> DataFrame:
+    """The rows and columns of ``docs`` as often as the mix takes them; columns may have any names.
+
+    Documents without words are not taken; rows equal in id, source and size are taken alike; an empty
+    table stays empty. In a source, what a round takes is all up to one place, so a row of places per
+    source decides each text where it is read, and no text is shuffled. That table is broadcast
+    behind a count of the sources.
     """
-    taken = mix(docs, id_column=id_column, **settings).filter("taken > 0")
-    copies = (F.col("taken") / F.col("size")).cast("int")
-    times = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max(copies).alias("_copies"))
-    joined = docs.join(times, docs[id_column].cast("long").eqNullSafe(F.col("_id")))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    names = {"id_column": id_column, "text_column": text_column, "source_column": source_column}
+    rows, rounds = queue(docs, **names, **settings)
+    lasts = [F.max(F.when(taken & (F.col("size") > 0), _place())).alias(f"last{r}") for r, taken in enumerate(rounds)]
+    places = materialize(rows.groupBy("key").agg(*lasts), "places")
+    if places.count() <= BROADCAST_KEYS:
+        places = F.broadcast(places)
+    placed = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(source_column).cast("string").alias("source"),
+        word_count(F.col(text_column)).alias("size"),
+    ).filter("size > 0")
+    placed = placed.withColumns({"key": _source_key(), "h": id_hash("doc_id", SEED)})
+    copies = F.lit(0)
+    for r in range(len(rounds)):
+        copies = copies + F.when(_place() <= F.col(f"last{r}"), 1).otherwise(0)
+    taken = placed.join(places, "key").withColumn("copies", copies).filter("copies > 0")
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 MIX_SQL = """

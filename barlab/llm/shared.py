@@ -58,10 +58,19 @@ def in_fold(doc_id: Column | str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
+def free_name(table: DataFrame, name: str) -> str:
+    """``name``, longer by underscores where the table has a column of that name in any case."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _match_ids(table: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
     few = ids.count() <= BROADCAST_KEYS
-    ids = ids.select(F.col(ids.columns[0]).alias("_id"))
-    matched = table[column].cast("long") == F.col("_id")
+    name = free_name(table, "_id")
+    ids = ids.select(F.col(ids.columns[0]).alias(name))
+    matched = F.col(column).cast("long") == F.col(name)
     return table.join(F.broadcast(ids) if few else ids, matched, how)
 
 

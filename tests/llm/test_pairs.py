@@ -177,3 +177,18 @@ def test_learned_partitions_find_the_neighbours_of_clustered_vectors(spark, monk
     assert hits / (150 * 20) >= 0.9
     _, parts, probes = neighbours.learn(points, 3000, 20)
     assert parts > 4 and probes < parts
+
+
+def test_one_document_stays_of_each_component_under_any_column_names(docs_of, odd_rows):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = odd_rows + [(30, text, "en", "s"), (31, text + " more", "en", "s"), (32, text, "en", None)]
+    docs = docs_of(rows)
+    plain = sorted(map(str, ngram_join.keep_one(docs).collect()))
+    named = docs.withColumns({n: F.lit(1) for n in ("_id", "_ID_", "component_id", "n_links", "stays", "rows")})
+    out = ngram_join.keep_one(named)
+    assert out.columns == named.columns
+    assert sorted(map(str, out.select(*docs.columns).collect())) == plain
+    ids = [r.doc_id for r in out.collect()]
+    assert ids.count(30) == 1 and not {31, 32} & set(ids) and ids.count(5) == 1 and {None, 1, 2, 3} <= set(ids)
+    empty = ngram_join.keep_one(docs_of([]))
+    assert empty.columns == docs.columns and empty.count() == 0

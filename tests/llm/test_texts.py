@@ -136,6 +136,32 @@ def test_mix_meets_its_targets(docs_of, odd_rows):
     assert all(counted[i] == n // size for i, size, n in distinct)
 
 
+def test_mixed_takes_each_row_as_often_as_the_mix_under_any_column_names(docs_of, odd_rows):
+    rnd = random.Random(6)
+    rows = odd_rows + [(200 + i, "w " * rnd.randrange(0, 40), "en", rnd.choice(["hot", "hot", "b", None])) for i in range(300)]
+    rows += [(7, "same id other text", "en", "b"), (7, "same id other text", "en", "b")]
+    docs = docs_of(rows)
+    words = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0))
+    expected = Counter()
+    for r in mixing.mix(docs).collect():
+        if r.taken:
+            expected[(r.doc_id, r.size)] += r.taken // r.size
+    for names in ([], ["_id", "_copies", "_copy", "key", "row", "size", "copies", "last0", "source_size", "i"]):
+        named = docs.withColumns({n: F.lit(n) for n in names})
+        out = mixing.mixed(named)
+        assert out.columns == named.columns
+        assert Counter((r.doc_id, r.n) for r in out.select("doc_id", words.alias("n")).collect()) == expected
+        assert all(out.filter(F.col(n) != n).count() == 0 for n in names[:3])
+    empty = mixing.mixed(docs_of([]))
+    assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_mixed_shuffles_no_text(docs_of, odd_rows):
+    plan = mixing.mixed(docs_of(odd_rows).drop("token"))._jdf.queryExecution().executedPlan().toString()
+    # The only exchange is the test table's own.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 0
+
+
 # --- secrets ------------------------------------------------------------------------------
 
 
