@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.timestamps import epoch_ms, epoch_timestamp, to_us
-from barlab.operators import clean, cube, profile
+from barlab.operators import clean, cube, profile, rolling
 from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS
-from barlab.session import scratch_dir
+from barlab.session import materialize, scratch_dir
 from barlab.sources import raw, sinks, tables
 
 # Prices leave as computed; sums, whose order differs between engines, leave rounded.
@@ -117,7 +117,40 @@ def catalog_table(spark, d):
     name = "bars_" + path.rsplit("-", 1)[-1]
     table = tables.register_table(spark, name, path)
     out = table.groupBy("symbol").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
-    return emit(out, "symbol", "n", volume=4)
+    out = materialize(emit(out, "symbol", "n", volume=4), "totals")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query(
+    "bucketed_sma",
+    f"WITH {q.LINE_BARS}, t AS (SELECT *, {q.mean('close', 15)} AS sma_15, {q.mean('close', 50)} AS sma_50 "
+    f"FROM bars) SELECT symbol, {q.OPEN_MS}, {q.rs(['sma_15', 'sma_50'], 6)} FROM t",
+)
+def bucketed_sma(spark, d):
+    path = scratch_dir(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[-1]
+    table = tables.save_bucketed(fx.daily(spark, d), name, path, buckets=8)
+    out = rolling.sma(table, (15, 50), segment_rows=None)
+    out = materialize(emit(out, "symbol", "open_time", sma_15=6, sma_50=6), "averages")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+_INCOMPLETE = "open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL"
+
+
+@query(
+    "validation_report",
+    f"""WITH {q.LINE_RAW} SELECT count(*) AS row_count, count(*) FILTER (WHERE symbol IS NULL) AS no_symbol,
+    count(*) FILTER (WHERE open_ms IS NULL) AS no_time, count(*) FILTER (WHERE {_INCOMPLETE}) AS null_rows,
+    count(*) FILTER (WHERE high < low OR high < open OR high < close) AS low_high,
+    count(*) FILTER (WHERE least(open, high, low, close) <= 0) AS bad_price,
+    count(*) FILTER (WHERE volume < 0) AS bad_volume, min(open_ms)::BIGINT AS first_ms, max(open_ms)::BIGINT AS last_ms
+    FROM raw_bars""",
+)
+def validation_report(spark, d):
+    return sinks.write_checked(clean.canonical_bars(fx.raw_lines(spark, d)), scratch_dir(spark, "checked"))
 
 
 _RAW_OUT = f"""symbol, {q.big('epoch_ms(open_time)', 'open_ms')}, {q.r('close', 6)}, {q.r('volume', 6)},

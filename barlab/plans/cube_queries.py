@@ -9,7 +9,8 @@ from barlab.plans import fixtures as fx
 from barlab.plans import sql as q
 from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS
-from barlab.session import materialize
+from barlab.session import materialize, scratch_dir
+from barlab.sources import cube_store, sinks
 
 _CUBE_BODY = """cube AS (SELECT symbol, strftime(open_time, '%Y-%m') AS month,
     hour(open_time) AS hour, count(*) AS n, sum(close / open - 1) AS sum_r,
@@ -62,6 +63,26 @@ def eda_cube(spark, d):
     return emit(out, "symbol", "month", "hour", "n", "up_n", "sum_trades", **rounded(_SUMS, 4))
 
 
+@query(
+    "incremental_cube",
+    f"{_LINE_CUBE} SELECT symbol, month, {q.bigs(['hour', 'n', 'up_n', 'sum_trades'])}, {q.rs(_SUMS, 4)} FROM cube",
+)
+def incremental_cube(spark, d):
+    """The cube kept beside monthly bars: built without the last month and without what one symbol
+    had in the first, then refreshed when both arrive."""
+    bars = materialize(fx.daily(spark, d), "bars")
+    store = scratch_dir(spark, "store")
+    ends = bars.agg(
+        F.trunc(F.min("open_time"), "month").alias("first"), F.trunc(F.max("open_time"), "month").alias("last")
+    ).first()
+    month = F.trunc("open_time", "month")
+    late = (month == F.lit(ends["last"])) | ((month == F.lit(ends["first"])) & (F.col("symbol") == "S1USDT"))
+    for arrived in (bars.filter(~late), bars.filter(late)):
+        sinks.write_monthly(arrived, f"{store}/bars")
+        refreshed = cube_store.refresh_cube(spark, f"{store}/bars", f"{store}/cube")
+    return emit(refreshed.cube, "symbol", "month", "hour", "n", "up_n", "sum_trades", **rounded(_SUMS, 4))
+
+
 _DERIVED = ["mean_r", "std_r", "up_share", "taker_ratio", "quote_vol_per_day", "quote_volume"]
 
 

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.functions.checks import require_columns
+from barlab.functions.checks import bar_checks, observed_row, require_columns
 from barlab.schema import BAR_COLUMNS, RAW_POSITIONS
 from barlab.sources.tables import path_exists, spark_path
 
@@ -28,6 +28,35 @@ def write_bars(bars: DataFrame, path: str, files: int | None = None) -> None:
     writer.option("compression", "zstd").parquet(spark_path(path))
 
 
+def write_monthly(bars: DataFrame, path: str, mode: str = "append", files: int | None = None) -> None:
+    """Bars in one folder per month, each in (symbol, open_time) order; bars without a time apart.
+
+    Range partitioning splits a month, or one symbol's part of it, over files.
+    """
+    require_columns(bars, BAR_COLUMNS, "bar table")
+    keys = ["month", "symbol", "open_time"]
+    dated = bars.withColumn("month", F.date_format("open_time", "yyyy-MM"))
+    ranged = dated.repartitionByRange(files, *keys) if files else dated.repartitionByRange(*keys)
+    writer = ranged.sortWithinPartitions(*keys).write.mode(mode).partitionBy("month")
+    writer.option("compression", "zstd").parquet(spark_path(path))
+
+
+def write_checked(bars: DataFrame, path: str) -> DataFrame:
+    """``write_bars``, and one row of ``checks.bar_checks`` counted by the write itself.
+
+    The counts are taken behind the exchange, in the job's last stage: the sampling of ranges does not pass
+    them, and a task that runs twice counts once. An empty table is refused after the write, as only
+    the write knows.
+    """
+    require_columns(bars, BAR_COLUMNS, "bar table")
+    keys = ["symbol", "open_time"]
+    observed = Observation("bars")
+    ordered = bars.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    counted = ordered.observe(observed, *bar_checks())
+    counted.write.mode("overwrite").option("compression", "zstd").parquet(spark_path(path))
+    return observed_row(bars.sparkSession, observed, "bar table")
+
+
 def verify_bars(bars: DataFrame) -> DataFrame:
     """Rows and distinct symbols of a written table (distinct by grouping, so it combines)."""
     per_symbol = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
