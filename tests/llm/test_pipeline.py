@@ -27,5 +27,5 @@ def test_every_stage_keeps_the_columns_and_decides(spark):
 
 def test_all_are_registered():
     names = entry_points.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in names if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in names if q.startswith("op")}
     assert "pipeline" in names and "op3_source_mixing" in entry_points.oracle_sql()
