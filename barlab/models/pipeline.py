@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import SparkContext, StorageLevel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -65,6 +65,25 @@ def forest(
     )
 
 
+def without_summary(fitted: Model) -> Model:
+    """The fitted stage without its training summary, which is not used here.
+
+    A binary classifier's summary holds the session, and scoring sends the model to the tasks: that
+    fails in a session in which an ``Observation`` was ever taken (``sinks.write_checked``), as such a
+    session cannot be serialized.
+    """
+    if getattr(fitted, "hasSummary", False):
+        none = SparkContext._active_spark_context._jvm.scala.Option.empty()
+        fitted._java_obj.setSummary(none)
+    return fitted
+
+
+def fit(stages: list[Estimator], train: DataFrame) -> PipelineModel:
+    """A fitted pipeline that can score in any session."""
+    fitted = Pipeline(stages=stages).fit(train)
+    return PipelineModel(stages=[without_summary(s) for s in fitted.stages])
+
+
 def score(model: PipelineModel, rows: DataFrame, target: str = "target") -> DataFrame:
     """Prediction table of a fitted classifier: keys, ``y_true``, ``y_prob``, ``y_pred``.
 
@@ -115,7 +134,7 @@ def train_pipeline(
         scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         models = {}
         for name, estimator in estimators.items():
-            fitted = estimator.fit(scaled)
+            fitted = without_summary(estimator.fit(scaled))
             models[name] = PipelineModel(stages=[*scaling.stages, fitted])
         scaled.unpersist()
         for name, model in models.items():

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -171,7 +170,7 @@ def mllib_evaluators(spark, d):
     """MLlib's evaluators on a fitted model beside the closed forms on its scores."""
     train, val, _ = _parts(spark, d)
     stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.logistic()]
-    model = Pipeline(stages=stages).fit(train)
+    model = pipeline.fit(stages, train)
     values = pipeline.mllib_metrics(model, val)
     own = metrics.weighted_metrics(materialize(pipeline.score(model, val), "scored")).first()
     rows = [(m, abs(values[m] - own[m]) < 1e-6) for m in _WEIGHTED]
@@ -187,7 +186,7 @@ def forest_nodes(spark, d):
     """A forest read back as a table of nodes: the same directions and importance as MLlib's."""
     train, val, _ = _parts(spark, d)
     stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.forest(trees=20, depth=6)]
-    model = Pipeline(stages=stages).fit(train)
+    model = pipeline.fit(stages, train)
     path = scratch_dir(spark, "forest")
     model.stages[-1].write().overwrite().save(path)
     nodes = materialize(trees.read_nodes(spark, path), "nodes")
@@ -239,7 +238,7 @@ def save_model(spark, d):
     train, _, test = _parts(spark, d)
     stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.logistic()]
     path = scratch_dir(spark, "model")
-    sinks.save_model(Pipeline(stages=stages).fit(train), path)
+    sinks.save_model(pipeline.fit(stages, train), path)
     scored = pipeline.score(sinks.load_model(path), test)
     return scored.select(
         "symbol", to_ms("open_time").alias("open_ms"), "y_true", "y_pred",
@@ -274,7 +273,7 @@ def save_model_roundtrip(spark, d):
     """Rows scored by a fitted pipeline, and those that the saved and loaded one scores otherwise."""
     train, _, test = _parts(spark, d)
     stages = [*pipeline.scaling_stages(FEATURE_COLUMNS), pipeline.logistic()]
-    fitted, path = Pipeline(stages=stages).fit(train), scratch_dir(spark, "model")
+    fitted, path = pipeline.fit(stages, train), scratch_dir(spark, "model")
     sinks.save_model(fitted, path)
     loaded = sinks.load_or_train(spark, path, lambda: fitted)
     keys = ["symbol", "open_time"]
@@ -319,7 +318,7 @@ def logistic_gradient(spark, d):
     """The penalized gradient of the logistic fit is zero in every scaled feature."""
     train, _, _ = _parts(spark, d)
     estimator = pipeline.logistic()
-    fitted = Pipeline(stages=[*pipeline.scaling_stages(FEATURE_COLUMNS), estimator]).fit(train)
+    fitted = pipeline.fit([*pipeline.scaling_stages(FEATURE_COLUMNS), estimator], train)
     weights, penalty = fitted.stages[-1].coefficients, estimator.getRegParam()
     scored = fitted.transform(train)
     x = vector_to_array(estimator.getFeaturesCol())

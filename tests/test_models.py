@@ -190,3 +190,15 @@ def test_a_saved_forest_is_a_table_of_nodes(spark, tmp_path, monkeypatch, limit)
     assert all(gains.get(i, 0) == pytest.approx(v, abs=1e-9) for i, v in enumerate(given))
     with pytest.raises(DataValidationError):
         trees.forest_votes(rows, nodes.filter("tree < 0"), ["id"])
+
+
+def test_models_score_in_a_session_that_has_counted_a_write(spark, parts, walk, tmp_path):
+    sinks.write_checked(walk[1], str(tmp_path / "checked"))
+    _, table = parts
+    train, val = named(table, "train"), named(table, "val")
+    chosen = {pipeline.LOGISTIC: pipeline.logistic(), pipeline.FOREST: pipeline.forest(trees=3, depth=3)}
+    trained = pipeline.train_pipeline(train, val, FEATURES, estimators=chosen)
+    for model in trained.models.values():
+        assert pipeline.score(model, val).count() == val.count()
+    fitted = pipeline.fit([*pipeline.scaling_stages(FEATURES), pipeline.logistic()], train)
+    assert pipeline.mllib_metrics(fitted, val)["accuracy"] > 0.5
