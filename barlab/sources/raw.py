@@ -27,17 +27,20 @@ def symbol_globs(root: str, symbols: list[str] | None = None) -> list[str]:
 
 
 def _folders(spark: SparkSession, root: str, symbols: list[str] | None) -> list[str]:
-    """Symbol folders below the root on whatever file system it names; one listing call.
+    """Paths of the symbol folders below the root, on whatever file system it names; none if it has none.
 
-    The files in them are listed by Spark alone, in parallel where there are many.
+    Listed symbols are looked up one by one, and all symbols are one pattern: the driver does not walk
+    the folders of other symbols. The files in them are listed by Spark alone, in parallel where there are many.
     """
-    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/spot/monthly/klines")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    base = path_of(f"{root.rstrip('/')}/spot/monthly/klines")
     files = base.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(base):
         return []
-    names = [str(f.getPath().getName()) for f in files.listStatus(base) if f.isDirectory()]
-    wanted = names if symbols is None else sorted(set(symbols) & set(names))
-    return [f"{base.toString()}/{name}/1m" for name in wanted]
+    if symbols is None:
+        return [f"{base.toString()}/*/1m"] if any(f.isDirectory() for f in files.listStatus(base)) else []
+    folders = [f"{base.toString()}/{symbol}" for symbol in sorted(set(symbols))]
+    return [f"{folder}/1m" for folder in folders if files.exists(path_of(folder))]
 
 
 def _with_symbol(reader_result: DataFrame) -> DataFrame:
@@ -53,10 +56,8 @@ def scan_raw_csv(spark: SparkSession, root: str, symbols: list[str] | None = Non
     folders = _folders(spark, root, symbols)
     if not folders:
         raise DataValidationError(f"no raw bar files under {root}")
-    base = f"{root.rstrip('/')}/spot/monthly/klines"
-    paths = [f"{base}/*/1m"] if symbols is None else folders
     reader = spark.read.schema(RAW_BAR_SCHEMA).option("pathGlobFilter", "*.csv")
-    return _with_symbol(reader.csv(paths, header=False))
+    return _with_symbol(reader.csv(folders, header=False))
 
 
 def scan_raw_tree(spark: SparkSession, prefix: str | list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -14,6 +15,8 @@ from barlab.functions.checks import bar_checks, observed_row, require_columns
 from barlab.schema import BAR_COLUMNS, RAW_POSITIONS
 from barlab.sources.tables import path_exists, spark_path
 
+_RENAMES = 16
+
 
 def write_bars(bars: DataFrame, path: str, files: int | None = None) -> None:
     """Bars as zstd parquet in global (symbol, open_time) order.
@@ -81,21 +84,36 @@ def write_raw(rows: DataFrame, root: str) -> None:
     """Rows of ``raw_rows`` as headerless files below ``<root>/spot/monthly/klines``.
 
     Spark names the files of a partitioned write itself, so they are written to ``<root>/staging``
-    and then moved to the raw layout: one rename per file, no second copy of the rows.
+    and then renamed to the raw layout, no second copy of the rows. The tasks make all folders, and
+    the driver, which only renames, does so for ``_RENAMES`` symbols at a time.
     """
     spark, top = rows.sparkSession, spark_path(root).rstrip("/")
-    named = rows.withColumn("_of", F.col("symbol")).drop("symbol")
-    named.repartition("_of").sortWithinPartitions("_of", "_c0").write.partitionBy("_of").csv(f"{top}/staging")
+    named = rows.withColumns({"_of": F.col("symbol"), "_in": F.lit("1m")}).drop("symbol")
+    staged = named.repartition("_of").sortWithinPartitions("_of", "_c0").write.partitionBy("_of", "_in")
+    staged.csv(f"{top}/staging")
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     files = path_of(top).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in files.listStatus(path_of(f"{top}/staging")):
+    base = f"{top}/spot/monthly/klines"
+    files.mkdirs(path_of(base))
+
+    def move(folder) -> None:
         name = str(folder.getPath().getName())
-        if name.startswith("_of="):
-            symbol = name[len("_of=") :]
-            to = f"{top}/spot/monthly/klines/{symbol}/1m"
-            files.mkdirs(path_of(to))
-            for k, part in enumerate(files.listStatus(folder.getPath())):
-                files.rename(part.getPath(), path_of(f"{to}/{symbol}-1m-{k:05d}.csv"))
+        if not name.startswith("_of="):
+            return
+        symbol = name[len("_of=") :]
+        to = f"{base}/{symbol}"
+        _rename(files, folder.getPath(), path_of(to))
+        _rename(files, path_of(f"{to}/_in=1m"), path_of(f"{to}/1m"))
+        for k, part in enumerate(files.listStatus(path_of(f"{to}/1m"))):
+            _rename(files, part.getPath(), path_of(f"{to}/1m/{symbol}-1m-{k:05d}.csv"))
+
+    with ThreadPoolExecutor(_RENAMES) as pool:
+        list(pool.map(move, files.listStatus(path_of(f"{top}/staging"))))
+
+
+def _rename(files, source, to) -> None:
+    if not files.rename(source, to):
+        raise OSError(f"could not rename {source.toString()} to {to.toString()}")
 
 
 def write_text(lines: DataFrame, path: str) -> None:

@@ -200,3 +200,18 @@ def test_cube_and_rollup(spark, raw_root):
     assert rolled["std_r"] == pytest.approx(abs(r[0] - r[1]) / 2, rel=1e-3)
     diff = {(r["symbol"], r["side"]) for r in cube.topk_set_diff(cube.symbol_rollup(table), ["ETHUSDT", "X"], 2).collect()}
     assert diff == {("BTCUSDT", "ranked_only"), ("X", "configured_only")}
+
+
+def test_raw_write_makes_no_folder_per_symbol_on_the_driver(spark, tmp_path, monkeypatch):
+    names = [f"S{i}USDT" for i in range(40)]
+    frame = [(s, T0 + 60_000 * k, *[1.0] * 5, T0 + 60_000 * k + 59_999, 1.0, 1, 1.0, 1.0, 0.0) for s in names for k in range(3)]
+    columns = "symbol string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_BAR_SCHEMA)
+    made, plain = [], sinks._rename
+    monkeypatch.setattr(sinks, "_rename", lambda files, a, b: (made.append(b.toString()), plain(files, a, b)))
+    sinks.write_raw(spark.createDataFrame(frame, columns), str(tmp_path))
+    assert sorted(p for p in made if p.endswith("/1m")) == sorted(f"{tmp_path}/spot/monthly/klines/{s}/1m" for s in names)
+    assert {r["symbol"]: r["count"] for r in raw.read_raw_bars(spark, str(tmp_path)).groupBy("symbol").count().collect()} == {
+        s: 3 for s in names
+    }
+    assert [p.split(":")[-1] for p in raw._folders(spark, str(tmp_path), None)] == [f"{tmp_path}/spot/monthly/klines/*/1m"]
+    assert raw.read_raw_bars(spark, str(tmp_path), ["S7USDT", "NOUSDT"]).count() == 3
