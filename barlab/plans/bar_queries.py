@@ -130,8 +130,8 @@ def catalog_table(spark, d):
 def bucketed_sma(spark, d):
     path = scratch_dir(spark, "bucketed")
     name = "bucketed_" + path.rsplit("-", 1)[-1]
-    table = tables.save_bucketed(fx.daily(spark, d), name, path, buckets=8)
-    out = rolling.sma(table, (15, 50), segment_rows=None)
+    table = tables.save_bucketed(fx.stored_daily(spark, d), name, path, buckets=8)
+    out = rolling.sma(table, (15, 50), segment_rows=None, tie_break=[])
     out = materialize(emit(out, "symbol", "open_time", sma_15=6, sma_50=6), "averages")
     spark.sql(f"DROP TABLE {name}")
     return out

@@ -15,7 +15,8 @@ from barlab.session import materialize
 EV = f"WITH {q.event_bars()}"
 KEY = f"symbol, {q.OPEN_MS}"
 HOURS = {"bar_ms": fx.HOUR_MS}
-DAYS = {"bar_ms": DAY_MS}
+# Bars made by a grouping are unique, so nothing else has to order bars of one instant.
+DAYS = {"bar_ms": DAY_MS, "tie_break": []}
 
 
 @query(
@@ -25,7 +26,7 @@ DAYS = {"bar_ms": DAY_MS}
     f"SELECT {KEY}, {q.rs(['sma_15', 'sma_20', 'sma_50'], 6)} FROM t",
 )
 def sma(spark, d):
-    out = rolling.sma(fx.daily(spark, d), **DAYS)
+    out = rolling.sma(fx.stored_daily(spark, d), **DAYS)
     return emit(out, "symbol", "open_time", sma_15=6, sma_20=6, sma_50=6)
 
 
@@ -36,7 +37,7 @@ def sma(spark, d):
     f"SELECT {KEY}, {q.rs(['close_std20', 'volume_std30'], 5)} FROM t",
 )
 def rolling_std(spark, d):
-    out = rolling.rolling_stds(fx.daily(spark, d), {"close": 20, "volume": 30}, **DAYS)
+    out = rolling.rolling_stds(fx.stored_daily(spark, d), {"close": 20, "volume": 30}, **DAYS)
     return emit(out, "symbol", "open_time", close_std20=5, volume_std30=5)
 
 
@@ -50,7 +51,7 @@ _SPANS = [9, 12, 15, 26, 50]
     + f" FROM bars) SELECT {KEY}, {q.rs([f'ema_{n}' for n in _SPANS], 4)} FROM t",
 )
 def ema_query(spark, d):
-    out = ema.ema(fx.daily(spark, d), tuple(_SPANS), **DAYS)
+    out = ema.ema(fx.stored_daily(spark, d), tuple(_SPANS), **DAYS)
     return emit(out, "symbol", "open_time", **rounded([f"ema_{n}" for n in _SPANS], 4))
 
 
@@ -61,7 +62,7 @@ def ema_query(spark, d):
 )
 def log_return(spark, d):
     return emit(
-        rolling.log_returns(fx.daily(spark, d), **DAYS), "symbol", "open_time", log_return=8
+        rolling.log_returns(fx.stored_daily(spark, d), **DAYS), "symbol", "open_time", log_return=8
     )
 
 
@@ -71,7 +72,7 @@ def log_return(spark, d):
     f"SELECT {KEY}, {q.r('rsi_14', 6)} FROM rsi",
 )
 def rsi(spark, d):
-    return emit(rolling.rsi(fx.daily(spark, d), **DAYS), "symbol", "open_time", rsi_14=6)
+    return emit(rolling.rsi(fx.stored_daily(spark, d), **DAYS), "symbol", "open_time", rsi_14=6)
 
 
 _BB = ["bb_middle", "bb_upper", "bb_lower"]
@@ -85,7 +86,7 @@ _BB = ["bb_middle", "bb_upper", "bb_lower"]
     f"SELECT {KEY}, {q.rs(_BB, 5)} FROM u",
 )
 def bollinger(spark, d):
-    out = rolling.bollinger(fx.daily(spark, d), **DAYS)
+    out = rolling.bollinger(fx.stored_daily(spark, d), **DAYS)
     return emit(out, "symbol", "open_time", **rounded(_BB, 5))
 
 
@@ -111,7 +112,7 @@ def macd(spark, d):
     f"SELECT {KEY}, {q.r('volatility_30', 8)} FROM b",
 )
 def volatility(spark, d):
-    out = rolling.volatility(fx.daily(spark, d), **DAYS)
+    out = rolling.volatility(fx.stored_daily(spark, d), **DAYS)
     return emit(out, "symbol", "open_time", volatility_30=8)
 
 
@@ -145,7 +146,7 @@ def stationary_features(spark, d):
 )
 def zscore(spark, d):
     columns = {"volume_z30": "volume", "trades_z30": "number_of_trades"}
-    out = rolling.zscores(fx.daily(spark, d), columns, **DAYS)
+    out = rolling.zscores(fx.stored_daily(spark, d), columns, **DAYS)
     return emit(out, "symbol", "open_time", volume_z30=4, trades_z30=4)
 
 
@@ -179,7 +180,7 @@ _MATRIX = list(dict.fromkeys([*INDICATOR_COLUMNS, *FEATURE_COLUMNS]))
     f"WITH {q.LINE_BARS}, {q.features()} SELECT {KEY}, {q.rs(_MATRIX, 4)} FROM feat",
 )
 def feature_matrix(spark, d):
-    out = features.feature_matrix(fx.daily(spark, d), **DAYS)
+    out = features.feature_matrix(fx.stored_daily(spark, d), **DAYS)
     return emit(out, "symbol", "open_time", **rounded(_MATRIX, 4))
 
 
@@ -214,7 +215,7 @@ def slim_features(spark, d):
     f"{q.big('target')}, {q.rs(['future_close', 'future_return'], 6)} FROM lab",
 )
 def direction_labels(spark, d):
-    out = features.direction_labels(fx.daily(spark, d), **DAYS)
+    out = features.direction_labels(fx.stored_daily(spark, d), **DAYS)
     return emit(out, "symbol", "open_time", "target", future_close=6, future_return=6)
 
 
