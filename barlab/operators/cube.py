@@ -18,7 +18,8 @@ CUBE_INPUTS = [
 def eda_cube(bars: DataFrame) -> DataFrame:
     """Counts and sums per (symbol, month, UTC hour), in one scan and one shuffle.
 
-    The return is close / open - 1 of a single bar, so no window is needed.
+    The return is close / open - 1 of a single bar, so no window is needed. A bar that opens at zero
+    has none; ``n_r`` counts those that have one.
     """
     require_columns(bars, CUBE_INPUTS, "bar table")
     r = F.try_divide("close", "open") - 1.0
@@ -33,6 +34,7 @@ def eda_cube(bars: DataFrame) -> DataFrame:
         .groupBy("symbol", "month", "hour")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.count("_r").alias("n_r"),
             F.sum("_r").alias("sum_r"),
             F.sum(F.col("_r") * F.col("_r")).alias("sum_r2"),
             F.sum(F.when(F.col("close") > F.col("open"), 1).otherwise(0)).alias("up_n"),
@@ -45,10 +47,11 @@ def eda_cube(bars: DataFrame) -> DataFrame:
 
 
 def symbol_rollup(cube: DataFrame, bar_ms: int = MINUTE_MS) -> DataFrame:
-    """Per-symbol totals with mean and deviation of the return, up-share and daily volume."""
+    """Per-symbol totals with mean and deviation of the returns there are, up-share and daily volume."""
     bars_per_day = DAY_MS / bar_ms
     totals = cube.groupBy("symbol").agg(
         F.sum("n").alias("n"),
+        F.sum("n_r").alias("n_r"),
         F.sum("sum_r").alias("sum_r"),
         F.sum("sum_r2").alias("sum_r2"),
         F.sum("up_n").alias("up_n"),
@@ -57,11 +60,11 @@ def symbol_rollup(cube: DataFrame, bar_ms: int = MINUTE_MS) -> DataFrame:
         F.sum("sum_trades").alias("trades"),
         F.sum("sum_taker_buy_base").alias("taker_base"),
     )
-    n = F.col("n")
-    return totals.withColumn("mean_r", F.col("sum_r") / n).withColumns(
+    n, n_r = F.col("n"), F.col("n_r")
+    return totals.withColumn("mean_r", F.try_divide("sum_r", n_r)).withColumns(
         {
-            "std_r": F.sqrt(
-                F.greatest(F.col("sum_r2") / n - F.col("mean_r") * F.col("mean_r"), F.lit(0.0))
+            "std_r": F.when(
+                n_r > 0, F.sqrt(F.greatest(F.col("sum_r2") / n_r - F.col("mean_r") * F.col("mean_r"), F.lit(0.0)))
             ),
             "up_share": F.col("up_n") / n,
             "taker_ratio": F.try_divide("taker_base", "volume"),

@@ -26,7 +26,7 @@ from barlab.session import materialize
 from barlab.sources.tables import path_exists, spark_path
 
 CELL_SCHEMA = (
-    "symbol string, hour int, n long, sum_r double, sum_r2 double, up_n long, sum_volume double, "
+    "symbol string, hour int, n long, n_r long, sum_r double, sum_r2 double, up_n long, sum_volume double, "
     "sum_quote_volume double, sum_trades long, sum_taker_buy_base double, month string"
 )
 MANIFEST_SCHEMA = "file string, size long, changed timestamp, month string"
@@ -91,6 +91,8 @@ def read_cube(spark: SparkSession, cube_path: str) -> DataFrame:
         # The type of the folder's column is given, as a month could be taken for a date.
         cells = spark.read.schema(CELL_SCHEMA).parquet(spark_path(f"{cube_path}/cells"))
         cells = cells.filter(F.coalesce("month", F.lit(NO_MONTH)).isin(months))
+        # Cells stored before returns were counted apart: every bar for one that has a return.
+        cells = cells.withColumn("n_r", F.coalesce("n_r", "n"))
     return cells.select("symbol", "month", *[c for c in cells.columns if c not in ("symbol", "month")])
 
 

@@ -202,6 +202,15 @@ def test_cube_and_rollup(spark, raw_root):
     assert diff == {("BTCUSDT", "ranked_only"), ("X", "configured_only")}
 
 
+def test_a_bar_that_opens_at_zero_has_no_return(spark, raw_root):
+    bars = raw.read_raw_bars(spark, str(raw_root)).filter("symbol = 'BTCUSDT'").withColumn("open", F.col("close") / 2)
+    odd = bars.limit(1).withColumn("open", F.lit(0.0))
+    rolled = cube.symbol_rollup(cube.eda_cube(bars.unionByName(odd))).first()
+    assert (rolled["n"], rolled["n_r"], rolled["mean_r"], rolled["std_r"]) == (3, 2, 1.0, 0.0)
+    rolled = cube.symbol_rollup(cube.eda_cube(odd)).first()
+    assert (rolled["n"], rolled["n_r"], rolled["mean_r"], rolled["std_r"]) == (1, 0, None, None)
+
+
 def test_raw_write_makes_no_folder_per_symbol_on_the_driver(spark, tmp_path, monkeypatch):
     names = [f"S{i}USDT" for i in range(40)]
     frame = [(s, T0 + 60_000 * k, *[1.0] * 5, T0 + 60_000 * k + 59_999, 1.0, 1, 1.0, 1.0, 0.0) for s in names for k in range(3)]
