@@ -453,6 +453,37 @@ class NgramJoin:
         rows = shared.join(documents, "doc_id").select("token", "n", "doc_id", "place", "component", "bitmap")
         return rows.repartition(self.parts, "token").sortWithinPartitions("token", "n", "doc_id")
 
+    def _meetings(self, postings: DataFrame) -> DataFrame:
+        """The (token, n, place, doc_id) that may link a document, with its ``partner`` for a token of two.
+
+        Most prefix tokens are in one document only, or in documents of sizes too far apart. Of a document's shorter
+        fellows the longest is the nearest in size, of the longer ones the shortest. Two fellows have one
+        row, if the size and the token's places allow their link.
+        """
+        group = Window.partitionBy("token")
+        by_size = group.orderBy("n", "doc_id")
+        around = {
+            **{f"shorter_{c}": F.lag(c).over(by_size) for c in ("n", "place", "doc_id")},
+            "longer_n": F.lead("n").over(by_size),
+            "holders": F.count(F.lit(1)).over(group),
+        }
+        near = f"(100 * shorter_n >= {self.percent} * n)"
+        least = f"((({self.percent} * (n + shorter_n) + {99 + self.percent}) div {100 + self.percent}))"
+        two = f"{near} AND shorter_place <= shorter_n - {least} AND place <= n - {least} AND shorter_doc_id <> doc_id"
+        many = f"{near} OR (100 * n >= {self.percent} * longer_n)"
+        rows = postings.withColumns(around).filter(f"(holders = 2 AND {two}) OR (holders > 2 AND ({many}))")
+        partner = F.when(F.col("holders") == 2, F.col("shorter_doc_id")).alias("partner")
+        return rows.select("token", "n", "place", "doc_id", partner)
+
+    def _possible(self, pairs: DataFrame, maps: DataFrame) -> DataFrame:
+        """The (a, b) whose bitmaps, of (doc_id, n, bitmap) rows, leave the similarity possible."""
+        side = lambda k: maps.select(
+            F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bitmap").alias(f"bitmap_{k}")
+        )
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        both = both.select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
+        return both.mapInArrow(_close_enough(self.percent), "a long, b long").distinct()
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) whose full sets reach the similarity."""
         ids = materialize(
@@ -464,12 +495,7 @@ class NgramJoin:
             "sets",
         )
         # Wide bitmaps are a 32nd of the sets; only pairs that they leave open are worth the sets.
-        wide = lambda k: sets.select(
-            F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bitmap").alias(f"bitmap_{k}")
-        )
-        both = pairs.join(wide("a"), "a").join(wide("b"), "b")
-        both = both.select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
-        pairs = materialize(both.mapInArrow(_close_enough(self.percent), "a long, b long").distinct(), "close")
+        pairs = materialize(self._possible(pairs, sets), "close")
         sets = sets.select("doc_id", "tokens")
         sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         sizes = sizes.withColumn("salts", F.ceil(F.col("n") / PARTNERS).cast("int"))
@@ -499,10 +525,12 @@ class NgramJoin:
         postings = reps.select(
             F.posexplode("prefix").alias("place", "token"), F.col("n_shingles").alias("n"), "doc_id"
         )
-        # Most prefix tokens are in one document only and can link nothing.
-        holders = F.count(F.lit(1)).over(Window.partitionBy("token"))
-        shared = postings.withColumn("holders", holders).filter("holders > 1").drop("holders")
-        shared = materialize(shared, "shared")
+        shared = materialize(self._meetings(postings), "shared")
+        # A token of two documents is one pair, which needs no group.
+        twos = shared.filter("partner IS NOT NULL")
+        twos = twos.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
+        twos = self._possible(twos, reps.withColumnRenamed("n_shingles", "n"))
+        shared = shared.filter("partner IS NULL").drop("partner")
         found, labelled = None, reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
         for exhaustive in (False, False, True):
             rows = self._by_token(shared, labelled)
@@ -512,6 +540,8 @@ class NgramJoin:
                 near = rows.mapInArrow(_closest(self.percent), "a long, b long, apart long").filter("a <> b")
                 near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m"))
                 pairs = near.select("a", "m.b")
+            if found is None:
+                pairs = pairs.union(twos)
             links = self.verify(materialize(pairs, "pairs"))
             found = materialize(links if found is None else found.union(links), "links")
             if not exhaustive:

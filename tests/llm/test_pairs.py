@@ -68,6 +68,20 @@ def test_components_equal_brute_force(docs_of, odd_rows, n, percent):
     assert 1 < len(set(expected.values())) < len(rows) - 20
 
 
+def test_only_what_may_link_goes_with_a_token(spark, docs_of):
+    join = ngram_join.NgramJoin(docs_of([]), "doc_id", "text", 90, 3, True)
+    rows = [
+        (1, 50, 0, 10), (1, 100, 0, 11),  # sizes too far apart
+        (2, 100, 0, 20), (2, 100, 9, 21),  # the token comes too late for 95 common ones
+        (3, 100, 0, 30), (3, 100, 5, 31),  # one pair
+        (4, 20, 0, 40), (4, 100, 0, 41), (4, 105, 0, 42), (4, 200, 0, 43),
+        (5, 100, 0, 50),
+    ]
+    postings = spark.createDataFrame(rows, "token long, n long, place int, doc_id long")
+    got = {(r.token, r.doc_id, r.partner) for r in join._meetings(postings).collect()}
+    assert got == {(3, 31, 30), (4, 41, None), (4, 42, None)}
+
+
 @pytest.mark.parametrize("cell", [256, 5])
 def test_all_links_equal_brute_force(docs_of, odd_rows, monkeypatch, cell):
     """Also those inside a component, in one cell and over many."""
