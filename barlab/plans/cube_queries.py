@@ -11,6 +11,7 @@ from barlab.plans.registry import emit, query, rounded
 from barlab.schema import DAY_MS
 from barlab.session import materialize, scratch_dir
 from barlab.sources import cube_store, sinks
+from barlab.sources.adapters import read_table
 
 _CUBE_BODY = """cube AS (SELECT symbol, strftime(open_time, '%Y-%m') AS month,
     hour(open_time) AS hour, count(*) AS n, sum(close / open - 1) AS sum_r,
@@ -70,14 +71,15 @@ def eda_cube(spark, d):
 def incremental_cube(spark, d):
     """The cube kept beside monthly bars: built without the last month and without what one symbol
     had in the first, then refreshed when both arrive."""
-    bars = materialize(fx.daily(spark, d), "bars")
     store = scratch_dir(spark, "store")
-    ends = bars.agg(
-        F.trunc(F.min("open_time"), "month").alias("first"), F.trunc(F.max("open_time"), "month").alias("last")
-    ).first()
+    days = read_table(spark, d, "lineitem").agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    ends = days.select(F.trunc("first", "month").alias("first"), F.trunc("last", "month").alias("last")).first()
     month = F.trunc("open_time", "month")
     late = (month == F.lit(ends["last"])) | ((month == F.lit(ends["first"])) & (F.col("symbol") == "S1USDT"))
-    for arrived in (bars.filter(~late), bars.filter(late)):
+    # Apart, so that the few late bars are not looked for among all others again.
+    bars = fx.daily(spark, d).withColumn("late", F.coalesce(late, F.lit(False)))
+    bars = materialize(bars, "bars", ["late"])
+    for arrived in (bars.filter("NOT late").drop("late"), bars.filter("late").drop("late")):
         sinks.write_monthly(arrived, f"{store}/bars")
         refreshed = cube_store.refresh_cube(spark, f"{store}/bars", f"{store}/cube")
     return emit(refreshed.cube, "symbol", "month", "hour", "n", "up_n", "sum_trades", **rounded(_SUMS, 4))

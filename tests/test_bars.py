@@ -8,6 +8,7 @@ from barlab.functions.timestamps import epoch_ms, epoch_timestamp, to_us
 from barlab.operators import clean, cube, profile
 from barlab.schema import BAR_COLUMNS, RAW_BAR_SCHEMA
 from barlab.sources import raw, sinks, tables
+from barlab.sources.adapters import packed
 
 T0 = 1704067200000
 
@@ -211,6 +212,14 @@ def test_a_bar_that_opens_at_zero_has_no_return(spark, raw_root):
     assert (rolled["n"], rolled["n_r"], rolled["mean_r"], rolled["std_r"]) == (1, 0, None, None)
 
 
+def test_packed_keys_are_exact_and_take_few_decimal_steps(spark):
+    row = spark.createDataFrame([(9_999_999_999_999, 9, 999_999_999_999, 99_999_999_999), (0, 0, 0, 7)], "a long, b int, c long, d long")
+    key = packed((F.col("a"), 13), (F.col("b"), 1), (F.col("c"), 12), (F.col("d"), 11))
+    assert [int(r[0]) for r in row.select(key).collect()] == [10**37 - 1, 7]
+    assert str(key).lower().count("decimal(38") == 3, str(key)  # longs of 14, 12 and 11 digits
+    assert int(row.limit(1).select(packed((F.col("a") * 10**5, 18), (F.col("c"), 19))).first()[0]) == 9_999_999_999_999 * 10**24 + 999_999_999_999
+
+
 def test_raw_write_makes_no_folder_per_symbol_on_the_driver(spark, tmp_path, monkeypatch):
     names = [f"S{i}USDT" for i in range(40)]
     frame = [(s, T0 + 60_000 * k, *[1.0] * 5, T0 + 60_000 * k + 59_999, 1.0, 1, 1.0, 1.0, 0.0) for s in names for k in range(3)]
