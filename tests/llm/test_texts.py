@@ -351,6 +351,62 @@ def test_toxicity_of_held_out_texts(spark, docs_of, odd_rows):
     assert toxicity.score_toxicity(docs_of([]), table).count() == 0
 
 
+def test_toxicity_learns_from_all_labels(spark, docs_of):
+    """Words that only 6 of 6 000 labelled texts hold; half of the near copies' labels are wrong on one id."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(7))
+    held = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    known = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 5 != 0][:6_000]
+    marks = [f"zz{'qxvwk'[i // 5]}{'qxvwk'[i % 5]}z" for i in range(12)]
+    rows, labels = [], []
+    for at, i in enumerate(known):
+        mark = marks[at // 6] if at < 72 else word()
+        rows.append((i, " ".join([word() for _ in range(8)] + [mark]), "en", "s"))
+        labels.append((i, 1, int(at < 72)))
+    rows += [(held[k], " ".join([word() for _ in range(8)] + [m]), "en", "s") for k, m in enumerate(marks)]
+    rows += [(i, " ".join(word() for _ in range(9)), "en", "s") for i in held[12:40]]
+    got = toxicity.score_toxicity(docs_of(rows), labels_of(spark, labels)).collect()
+    assert {r.doc_id for r in got if r.held_out and r.predicted} == set(held[:12])
+    assert len(got) == len(rows)
+
+
+def test_near_copies_are_one_example_with_the_label_of_most(spark, docs_of):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{base} end{i}", "en", "s") for i in (1, 2, 3)]
+    rows += [(4, " ".join(f"v{i}" for i in range(60)), "en", "s"), (5, "", "en", "s"), (6, None, "en", "s")]
+    docs = docs_of(rows).select("doc_id", "text")
+    labels = labels_of(spark, [(1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 0), (5, 1, 0), (6, 1, 1), (7, 1, 1)])
+    _, chosen = toxicity.examples_of(docs, labels.select("doc_id", "toxic"))
+    assert sorted(map(tuple, chosen.collect())) == [(1, 1), (4, 0), (5, 0), (6, 1)]
+
+
+def test_neighbours_in_chunks_equal_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    idf = rng.uniform(1, 3, 30)
+    made = set()
+    for _ in range(500):
+        which = np.sort(rng.choice(30, rng.integers(1, 6), replace=False))
+        made.add(tuple(int(x) for t in which for x in (t, rng.integers(1, 4))))
+    made = sorted(made)
+    voters = [(i, list(c), 1, i % 2) for i, c in enumerate(made[::2])]
+    table = spark.createDataFrame(voters, "voter long, counts array<int>, n long, toxic long")
+    queries = spark.createDataFrame([(list(c),) for c in made], "counts array<int>")
+    dense = np.zeros((len(made), 30))
+    for row, c in zip(dense, made):
+        which, weight = toxicity.unit_vector(list(c), idf)
+        row[which] = weight
+    full = dense @ dense[::2].T
+    for chunk in (1 << 16, 40):
+        got = {tuple(r.counts): r.near for r in toxicity.neighbours(table, queries, idf, chunk).collect()}
+        assert len(got) == len(made)
+        for c, scores in zip(made, full):
+            wanted = -np.sort(-scores)[: toxicity.NEIGHBOURS + 1]
+            assert np.allclose([-v.far for v in got[c]], wanted[wanted > 1e-12])
+            assert np.allclose([scores[v.voter] for v in got[c]], [-v.far for v in got[c]])
+
+
 def test_block_max_search_is_exact():
     import numpy as np
 
