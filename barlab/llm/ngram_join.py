@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from barlab.llm import texts
 from barlab.llm.components import components
-from barlab.llm.shared import keep_ids, need, prepare, shuffle_parts, without_ids
+from barlab.llm.shared import BROADCAST_KEYS, keep_ids, need, prepare, shuffle_parts, without_ids
 from barlab.session import materialize
 
 # Shingles known to be frequent and put last in the order (8 bytes each are broadcast).
@@ -449,6 +449,21 @@ class NgramJoin:
         kept = self.profiles.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
         return kept.groupBy("n_shingles", "signature").agg(F.min("doc_id").alias("rep"))
 
+    def representatives(self) -> DataFrame:
+        """The profiles whose id is the smallest of their set. The others are found by id and signature
+        and broadcast behind a count, so that the prefixes need no shuffle; beyond it the join shuffles."""
+        kept = self.profiles.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+        several = kept.groupBy("n_shingles", "signature")
+        several = several.agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).filter("rep < last")
+        copies = kept.select("doc_id", "n_shingles", "signature").join(several, ["n_shingles", "signature"])
+        copies = copies.filter("doc_id <> rep").select("doc_id", "signature").distinct()
+        return kept.join(self._few(materialize(copies, "copies")), ["doc_id", "signature"], "left_anti")
+
+    @staticmethod
+    def _few(rows: DataFrame) -> DataFrame:
+        """Stored rows of several columns, marked for broadcast if there are few."""
+        return F.broadcast(rows) if rows.count() <= BROADCAST_KEYS // 4 else rows
+
     def _by_token(self, shared: DataFrame, documents: DataFrame) -> DataFrame:
         rows = shared.join(documents, "doc_id").select("token", "n", "doc_id", "place", "component", "bitmap")
         return rows.repartition(self.parts, "token").sortWithinPartitions("token", "n", "doc_id")
@@ -516,12 +531,8 @@ class NgramJoin:
 
     def links(self) -> DataFrame:
         """Links (a, b) between representatives that hold all components together."""
-        reps = self.profiles.join(
-            self.classes().select("n_shingles", "signature", F.col("rep").alias("doc_id")),
-            ["n_shingles", "signature", "doc_id"],
-            "left_semi",
-        )
-        reps = materialize(reps.select("doc_id", "n_shingles", "prefix", "bitmap"), "representatives")
+        reps = self.representatives().select("doc_id", "n_shingles", "prefix", "bitmap")
+        reps = materialize(reps, "representatives")
         postings = reps.select(
             F.posexplode("prefix").alias("place", "token"), F.col("n_shingles").alias("n"), "doc_id"
         )
@@ -588,7 +599,10 @@ class NgramJoin:
         sets = made.mapInArrow(
             _signed_sets(self.n, self.lower, self.frequent), "rep long, signature binary, tokens binary"
         )
-        rows = sets.join(members, ["rep", "signature"]).join(blocks, ["component", "band", "cell"])
+        # Blocks are found without the sets, which then go straight to their blocks.
+        places = members.join(blocks, ["component", "band", "cell"])
+        places = materialize(places.select("rep", "signature", "block", "second", "one"), "places")
+        rows = sets.join(self._few(places), ["rep", "signature"])
         rows = rows.select(F.to_json("block").alias("block"), "second", "one", "rep", "signature", "tokens")
         rows = rows.repartition(self.parts, "block").sortWithinPartitions("block")
         return rows.mapInArrow(_block_links(self.percent, count), schema)

@@ -206,3 +206,15 @@ def test_one_document_stays_of_each_component_under_any_column_names(docs_of, od
     assert ids.count(30) == 1 and not {31, 32} & set(ids) and ids.count(5) == 1 and {None, 1, 2, 3} <= set(ids)
     empty = ngram_join.keep_one(docs_of([]))
     assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_representatives_need_no_shuffle_of_prefixes(spark, docs_of, odd_rows):
+    """Every set once, by the smallest id; an id with two texts stands only for the one it is smallest of."""
+    rows = odd_rows + [(20, "one two three four", "en", "s"), (20, "p q r s", "en", "s"), (21, "p q r s", "en", "s")]
+    join = ngram_join.NgramJoin(docs_of(rows), "doc_id", "text", 90, 3, True)
+    found = join.representatives()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "LeftAnti" in plan
+    keys = [(r.signature, r.doc_id) for r in found.collect()]
+    wanted = [(r.signature, r.rep) for r in join.classes().collect()]
+    assert set(keys) == set(wanted) and (20 in {i for _, i in keys}) and (21 not in {i for _, i in keys})
