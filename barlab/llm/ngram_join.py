@@ -17,8 +17,8 @@ least.
    leaves it only if it may reach the similarity: by size, by the places of the token (a pair's
    first common token lies early in both sets), and by bitmaps in which every token of a set flips
    one of ``BITS`` bits, so that two bitmaps never differ in more bits than the sets in tokens.
-5. ``verify``: pairs whose bitmaps of full width still leave the similarity possible are verified;
-   the partners of a document are stored as ordered sets in a trie (sorted,
+5. ``verify``: pairs whose bitmaps of full width still leave the similarity possible are verified, and only
+   their sets are made; the partners of a document are stored as ordered sets in a trie (sorted,
    so that neighbours share their path). Its traversal takes over the partial overlap of the shared
    path and leaves a subtree once the remaining lengths cannot reach the required overlap.
 
@@ -117,12 +117,13 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
 def _profiles(n: int, lower: bool, percent: int, frequent: np.ndarray):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, signatures, prefixes, maps = [], [], [], []
+            sizes, signatures, prefixes, maps, wide = [], [], [], [], []
             for tokens in _ordered_sets(b.column(1), n, lower, frequent):
                 sizes.append(len(tokens))
                 signatures.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 prefixes.append(tokens[: prefix_length(len(tokens), percent)].astype(np.int64))
                 maps.append(bitmap(tokens).tobytes())
+                wide.append(wide_bitmap(tokens).tobytes() if 2 * len(tokens) > BITS else None)
             bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -132,8 +133,9 @@ def _profiles(n: int, lower: bool, percent: int, frequent: np.ndarray):
                     pa.array(signatures, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
                     pa.array(maps, pa.binary()),
+                    pa.array(wide, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "signature", "prefix", "bitmap"],
+                names=["doc_id", "n_shingles", "signature", "prefix", "bitmap", "wide"],
             )
 
     return profile
@@ -158,15 +160,8 @@ def apart(a: np.ndarray, b: np.ndarray) -> int:
 def _sets(n: int, lower: bool, frequent: np.ndarray):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets, sizes, maps = [], [], []
-            for s in _ordered_sets(b.column(1), n, lower, frequent):
-                sets.append(s.astype(">u8").tobytes())
-                sizes.append(len(s))
-                maps.append(wide_bitmap(s).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.array(sets, pa.binary())],
-                names=["doc_id", "n", "bitmap", "tokens"],
-            )
+            sets = [s.astype(">u8").tobytes() for s in _ordered_sets(b.column(1), n, lower, frequent)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["doc_id", "tokens"])
 
     return make
 
@@ -429,7 +424,7 @@ class NgramJoin:
         self.frequent = self._frequent_tokens()
         made = self.docs.mapInArrow(
             _profiles(n, lower, percent, self.frequent),
-            "doc_id long, n_shingles long, signature binary, prefix array<long>, bitmap binary",
+            "doc_id long, n_shingles long, signature binary, prefix array<long>, bitmap binary, wide binary",
         )
         self.profiles = materialize(made, "profiles")
 
@@ -490,6 +485,10 @@ class NgramJoin:
         partner = F.when(F.col("holders") == 2, F.col("shorter_doc_id")).alias("partner")
         return rows.select("token", "n", "place", "doc_id", partner)
 
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
     def _possible(self, pairs: DataFrame, maps: DataFrame) -> DataFrame:
         """The (a, b) whose bitmaps, of (doc_id, n, bitmap) rows, leave the similarity possible."""
         side = lambda k: maps.select(
@@ -501,17 +500,15 @@ class NgramJoin:
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) whose full sets reach the similarity."""
-        ids = materialize(
-            pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidates"
+        # Wide bitmaps are a 32nd of the sets; sets are made and stored only for pairs that these leave open.
+        maps = self.profiles.select(
+            "doc_id", F.col("n_shingles").alias("n"), F.coalesce("wide", "bitmap").alias("bitmap")
         )
+        maps = keep_ids(maps, "doc_id", materialize(self._ends(pairs), "candidates"))
+        pairs = materialize(self._possible(pairs, maps), "close")
+        docs = keep_ids(self.docs, "doc_id", materialize(self._ends(pairs), "open"))
         make = _sets(self.n, self.lower, self.frequent)
-        sets = materialize(
-            keep_ids(self.docs, "doc_id", ids).mapInArrow(make, "doc_id long, n long, bitmap binary, tokens binary"),
-            "sets",
-        )
-        # Wide bitmaps are a 32nd of the sets; only pairs that they leave open are worth the sets.
-        pairs = materialize(self._possible(pairs, sets), "close")
-        sets = sets.select("doc_id", "tokens")
+        sets = materialize(docs.mapInArrow(make, "doc_id long, tokens binary"), "sets")
         sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         sizes = sizes.withColumn("salts", F.ceil(F.col("n") / PARTNERS).cast("int"))
         own = sizes.join(sets.withColumnRenamed("doc_id", "a"), "a").select(
@@ -531,8 +528,7 @@ class NgramJoin:
 
     def links(self) -> DataFrame:
         """Links (a, b) between representatives that hold all components together."""
-        reps = self.representatives().select("doc_id", "n_shingles", "prefix", "bitmap")
-        reps = materialize(reps, "representatives")
+        reps = self.representatives()
         postings = reps.select(
             F.posexplode("prefix").alias("place", "token"), F.col("n_shingles").alias("n"), "doc_id"
         )
@@ -540,7 +536,7 @@ class NgramJoin:
         # A token of two documents is one pair, which needs no group.
         twos = shared.filter("partner IS NOT NULL")
         twos = twos.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
-        twos = self._possible(twos, reps.withColumnRenamed("n_shingles", "n"))
+        twos = self._possible(twos, reps.select("doc_id", F.col("n_shingles").alias("n"), "bitmap"))
         shared = shared.filter("partner IS NULL").drop("partner")
         found, labelled = None, reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
         for exhaustive in (False, False, True):

@@ -218,3 +218,22 @@ def test_representatives_need_no_shuffle_of_prefixes(spark, docs_of, odd_rows):
     keys = [(r.signature, r.doc_id) for r in found.collect()]
     wanted = [(r.signature, r.rep) for r in join.classes().collect()]
     assert set(keys) == set(wanted) and (20 in {i for _, i in keys}) and (21 not in {i for _, i in keys})
+
+
+def test_only_sets_that_wide_bitmaps_leave_open_are_stored(docs_of, monkeypatch):
+    """Long texts that meet by a chance token have no set on disk; nor are prefixes written twice."""
+    phrase = "extraordinarily uncharacteristically incomprehensibilities counterrevolutionaries"
+    rows = [(i, f"{phrase} " + " ".join(f"d{i}w{k}" for k in range(1500)), "en", "s") for i in range(20)]
+    rows.append((100, rows[3][1] + " more", "en", "s"))
+    stored, materialize = {}, ngram_join.materialize
+
+    def recorded(df, label, *more):
+        out = materialize(df, label, *more)
+        stored.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", recorded)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(docs_of(rows)).collect()}
+    assert got == {i: i for i in range(20)} | {100: 3}
+    assert {r.doc_id for t in stored["sets"] for r in t.collect()} == {3, 100}
+    assert [k for k, ts in stored.items() if "prefix" in ts[0].columns] == ["profiles"]
