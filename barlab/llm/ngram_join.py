@@ -3,6 +3,7 @@
 Every text is its set of n-word shingles, each a 64-bit token, kept in one global order: rare
 shingles first. Two sets with similarity ``percent`` share a token among the first
 ``n - ceil(percent * n) + 1`` of each, so only documents that meet in such a prefix are compared.
+Two prefixes longer by ``COMMON - 1`` tokens share ``COMMON`` of them, so that a chance token alone makes no pair.
 Any order is exact; this one puts the most frequent shingles (counted over all blocks, at most
 ``FREQUENT``) last and otherwise long shingles before short ones, as long word sequences repeat
 least.
@@ -15,8 +16,9 @@ least.
    linear in its size.
 4. Then every pair of a token group that is not yet in one component is tested inside its task and
    leaves it only if it may reach the similarity: by size, by the places of the token (a pair's
-   first common token lies early in both sets), and by bitmaps in which every token of a set flips
-   one of ``BITS`` bits, so that two bitmaps never differ in more bits than the sets in tokens.
+   first common tokens lie early in both sets), and by bitmaps in which every token of a set flips
+   one of ``BITS`` bits, so that two bitmaps never differ in more bits than the sets in tokens. Pairs
+   go on that are left by ``COMMON`` tokens, or by as many as their intersection needs.
 5. ``verify``: pairs whose bitmaps of full width still leave the similarity possible are verified, and only
    their sets are made; the partners of a document are stored as ordered sets in a trie (sorted,
    so that neighbours share their path). Its traversal takes over the partial overlap of the shared
@@ -56,6 +58,8 @@ BITS = 512
 WINDOW = 32
 # Partners of one document that are verified in one group.
 PARTNERS = 1024
+# Tokens that two prefixes must share; these are longer by one less.
+COMMON = 3
 # Sets of one cell; two cells meet in one task.
 CELL = 256
 
@@ -94,7 +98,7 @@ def _frequent(n: int, lower: bool):
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return min(n, n - -(-percent * n // 100) + COMMON) if n else 0
 
 
 def _ordered_sets(column: pa.Array, n: int, lower: bool, frequent: np.ndarray) -> Iterator[np.ndarray]:
@@ -201,24 +205,28 @@ class _Rows:
         self.token, self.n, self.doc, self.place, self.component = columns
 
     def able(self, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which rows j, no shorter than rows i, can be their partners with this as first common
-        token, and in how many bits these differ."""
+        """Which rows j, no shorter than rows i, can be their partners with this among the first
+        ``COMMON`` common tokens, and in how many bits these differ."""
         n_i, n_j = self.n[i], self.n[j]
         least = required_overlap(n_i, n_j, percent)
         use = (self.component[i] != self.component[j]) & (n_i >= least)
-        use &= (self.place[i] <= n_i - least) & (self.place[j] <= n_j - least)
+        use &= (self.place[i] < n_i - least + COMMON) & (self.place[j] < n_j - least + COMMON)
         at = np.flatnonzero(use)
         apart = np.bitwise_count(self.maps[i[at]] ^ self.maps[j[at]]).sum(axis=1, dtype=np.int64)
         near = apart <= n_i[at] + n_j[at] - 2 * least[at]
         return at[near], apart[near]
 
 
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Pairs of different documents, each once, the smaller id first."""
+def _counted_pairs(a: np.ndarray, b: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
+    """Pairs of different documents, the smaller id first, how often each came and the least ``wanted``."""
     both = np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1)
-    both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+    other = both[:, 0] != both[:, 1]
+    both, at, times = np.unique(both[other], axis=0, return_inverse=True, return_counts=True)
+    least = np.full(len(both), COMMON)
+    np.minimum.at(least, at.reshape(-1), wanted[other])
+    columns = [*both.T, times, least]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(c)) for c in both.T.astype(np.int64)], names=["a", "b"]
+        [pa.array(np.ascontiguousarray(c, np.int64)) for c in columns], names=["a", "b", "times", "wanted"]
     )
 
 
@@ -256,7 +264,7 @@ def _closest(percent: int):
 
 
 def _across(percent: int):
-    """Pairs of a token whose components differ, as far as they may be links.
+    """Pairs of a token whose components differ, as far as they may be links, with their number of tokens.
 
     Row j is tested against the row one before it, then two, and so on, for all j at once; a j
     drops out where the token or the sizes' ratio ends.
@@ -277,17 +285,19 @@ def _across(percent: int):
                 i, j = i[near], j[near]
                 ok, _ = rows.able(i, j, percent)
                 if len(ok):
-                    held.append((rows.doc[i[ok]], rows.doc[j[ok]]))
+                    x, y = i[ok], j[ok]
+                    wanted = np.minimum(required_overlap(rows.n[x], rows.n[y], percent), COMMON)
+                    held.append((rows.doc[x], rows.doc[y], wanted))
                     size += len(ok)
                 if size >= 1 << 19:
-                    yield _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
+                    yield _counted_pairs(*(np.concatenate(x) for x in zip(*held)))
                     held, size = [], 0
             # Of the last token, rows that are long enough to meet later ones.
             first = np.searchsorted(rows.token, rows.token[-1])
             first += np.searchsorted(100 * rows.n[first:], percent * rows.n[-1])
             keep = slice(int(first), None)
         if held:
-            yield _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
+            yield _counted_pairs(*(np.concatenate(x) for x in zip(*held)))
 
     return pair
 
@@ -466,24 +476,31 @@ class NgramJoin:
     def _meetings(self, postings: DataFrame) -> DataFrame:
         """The (token, n, place, doc_id) that may link a document, with its ``partner`` for a token of two.
 
-        Most prefix tokens are in one document only, or in documents of sizes too far apart. Of a document's shorter
-        fellows the longest is the nearest in size, of the longer ones the shortest. Two fellows have one
-        row, if the size and the token's places allow their link.
+        Most prefix tokens are in one document only, or in documents of sizes too far apart, or come too late in
+        them. In the shorter set of a link the token comes as early as a link with a set of its own size asks for; of the
+        shorter fellows for which it does, the longest is the nearest in size, of the longer ones the shortest. Two
+        fellows have one row, if the size and the token's places allow their link, with the number of tokens ``wanted``.
         """
         group = Window.partitionBy("token")
         by_size = group.orderBy("n", "doc_id")
-        around = {
-            **{f"shorter_{c}": F.lag(c).over(by_size) for c in ("n", "place", "doc_id")},
-            "longer_n": F.lead("n").over(by_size),
+        least = lambda x, y: f"(({self.percent} * ({x} + {y}) + {99 + self.percent}) div {100 + self.percent})"
+        # Dealt out first, so that only the postings themselves are shuffled.
+        rows = postings.repartition("token").withColumn("early", F.expr(f"place < n - {least('n', 'n')} + {COMMON}"))
+        around = {f"shorter_{c}": F.lag(c).over(by_size) for c in ("n", "place", "doc_id")} | {
+            "shorter": F.last(F.when(F.col("early"), F.col("n")), ignorenulls=True).over(
+                by_size.rowsBetween(Window.unboundedPreceding, -1)
+            ),
+            "longer": F.lead("n").over(by_size),
             "holders": F.count(F.lit(1)).over(group),
         }
-        near = f"(100 * shorter_n >= {self.percent} * n)"
-        least = f"((({self.percent} * (n + shorter_n) + {99 + self.percent}) div {100 + self.percent}))"
-        two = f"{near} AND shorter_place <= shorter_n - {least} AND place <= n - {least} AND shorter_doc_id <> doc_id"
-        many = f"{near} OR (100 * n >= {self.percent} * longer_n)"
-        rows = postings.withColumns(around).filter(f"(holders = 2 AND {two}) OR (holders > 2 AND ({many}))")
+        both = least("n", "shorter_n")
+        two = f"shorter_place < shorter_n - {both} + {COMMON} AND place < n - {both} + {COMMON} AND shorter_doc_id <> doc_id"
+        two = f"{two} AND 100 * shorter_n >= {self.percent} * n"
+        many = f"100 * shorter >= {self.percent} * n OR (early AND 100 * n >= {self.percent} * longer)"
+        rows = rows.withColumns(around).filter(f"(holders = 2 AND {two}) OR (holders > 2 AND ({many}))")
         partner = F.when(F.col("holders") == 2, F.col("shorter_doc_id")).alias("partner")
-        return rows.select("token", "n", "place", "doc_id", partner)
+        wanted = F.when(F.col("holders") == 2, F.expr(f"least({COMMON}, {both})")).alias("wanted")
+        return rows.select("token", "n", "place", "doc_id", partner, wanted)
 
     @staticmethod
     def _ends(pairs: DataFrame) -> DataFrame:
@@ -526,6 +543,11 @@ class NgramJoin:
         together = together.sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         return together.mapInArrow(_verify(self.percent), "a long, b long")
 
+    @staticmethod
+    def _counted(pairs: DataFrame) -> DataFrame:
+        """Each pair once, with all its common tokens; of an id with several texts the least number wanted."""
+        return pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("wanted").alias("wanted"))
+
     def links(self) -> DataFrame:
         """Links (a, b) between representatives that hold all components together."""
         reps = self.representatives()
@@ -535,20 +557,24 @@ class NgramJoin:
         shared = materialize(self._meetings(postings), "shared")
         # A token of two documents is one pair, which needs no group.
         twos = shared.filter("partner IS NOT NULL")
-        twos = twos.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
-        twos = self._possible(twos, reps.select("doc_id", F.col("n_shingles").alias("n"), "bitmap"))
-        shared = shared.filter("partner IS NULL").drop("partner")
+        twos = twos.select(
+            F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b"), F.lit(1).alias("times"), "wanted"
+        )
+        twos = materialize(self._counted(twos), "twos")
+        shared = shared.filter("partner IS NULL").drop("partner", "wanted")
         found, labelled = None, reps.select("doc_id", "bitmap", F.col("doc_id").alias("component"))
         for exhaustive in (False, False, True):
             rows = self._by_token(shared, labelled)
             if exhaustive:
-                pairs = rows.mapInArrow(_across(self.percent), "a long, b long").distinct()
+                across = rows.mapInArrow(_across(self.percent), "a long, b long, times long, wanted long")
+                pairs = self._counted(across.union(twos.filter("times < wanted")))
+                pairs = pairs.filter("times >= wanted").select("a", "b")
             else:
                 near = rows.mapInArrow(_closest(self.percent), "a long, b long, apart long").filter("a <> b")
                 near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m"))
                 pairs = near.select("a", "m.b")
             if found is None:
-                pairs = pairs.union(twos)
+                pairs = pairs.union(twos.filter("times >= wanted").select("a", "b"))
             links = self.verify(materialize(pairs, "pairs"))
             found = materialize(links if found is None else found.union(links), "links")
             if not exhaustive:

@@ -237,3 +237,30 @@ def test_only_sets_that_wide_bitmaps_leave_open_are_stored(docs_of, monkeypatch)
     assert got == {i: i for i in range(20)} | {100: 3}
     assert {r.doc_id for t in stored["sets"] for r in t.collect()} == {3, 100}
     assert [k for k, ts in stored.items() if "prefix" in ts[0].columns] == ["profiles"]
+
+
+def test_chance_tokens_alone_make_no_candidates(docs_of, monkeypatch):
+    """Long texts that share two rare shingles are not compared; a near copy of one is."""
+    phrases = ["extraordinarily uncharacteristically incomprehensibilities", "internationalization counterrevolutionary institutionalization"]
+    text = lambda i: " ".join([phrases[0], *(f"d{i}w{k}" for k in range(700)), phrases[1], *(f"e{i}w{k}" for k in range(700))])
+    rows = [(i, text(i), "en", "s") for i in range(12)] + [(100, text(3) + " more", "en", "s")]
+    stored, materialize = {}, ngram_join.materialize
+
+    def recorded(df, label, *more):
+        out = materialize(df, label, *more)
+        stored.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", recorded)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(docs_of(rows)).collect()}
+    assert got == {i: i for i in range(12)} | {100: 3}
+    assert {r.doc_id for r in stored["candidates"][-1].collect()} <= {3, 100}
+
+
+def test_sets_of_fewer_tokens_than_prefixes_must_share(docs_of):
+    rnd = random.Random(11)
+    rows = [(i, " ".join(rnd.choices("abcdefghijklmnopqrst", k=rnd.randrange(1, 6))), "en", "s") for i in range(14)]
+    rows += [(50, "p1 p2", "en", "s"), (51, "p1", "en", "s"), (52, "q1 q2 q3", "en", "s"), (53, "q1 q2", "en", "s")]
+    for percent in (50, 67):
+        got = ngram_join.ngram_components(docs_of(rows), percent=percent, n=1).collect()
+        assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 1, percent)
