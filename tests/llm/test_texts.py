@@ -370,6 +370,73 @@ def test_toxicity_learns_from_all_labels(spark, docs_of):
     assert len(got) == len(rows)
 
 
+def test_toxicity_uses_all_terms_of_all_texts(spark, docs_of):
+    """No term of these examples is frequent, or mostly toxic: each is in two texts, copies of no other."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(4))
+    held = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % 5 == 0][:40]
+    known = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % 5 != 0][:80]
+    rows, labels = [], []
+    for at, i in enumerate(known):
+        words = [word() for _ in range(30)] if at % 2 == 0 else [*words[15:], *(word() for _ in range(15))]
+        rows.append((i, " ".join(words), "en", "s"))
+        labels.append((i, 1, int(at < 40)))
+        if at % 2 == 0:
+            rows.append((held[at // 2], " ".join(rnd.sample(words[:15], 15) + [word() for _ in range(10)]), "en", "s"))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs_of(rows), labels_of(spark, labels)).collect()}
+    assert all(got[held[k]].predicted == int(k < 20) for k in range(40))
+
+
+def test_term_weights_hold_every_term(spark, docs_of):
+    import numpy as np
+
+    some = [(1, 1, "Worda worda pair ß é longerword"), (2, 0, "pair x"), (3, 0, ""), (4, 0, None), (5, 1, "longerly\u2014x")]
+    learned = spark.createDataFrame(some, "doc_id long, toxic int, text string")
+    (hashes, numbers), weights = toxicity.term_weights(learned, 5, 2)
+    terms = [toxicity.terms(t or "") for _, _, t in some]
+    n = {t: sum(t in own for own in terms) for t in set().union(*terms)}
+    k = {t: sum(t in own for own, (_, label, _) in zip(terms, some) if label) for t in n}
+    spread = {t: n[t] * 0.4 * 0.6 * (5 - n[t]) / 4 for t in n}
+    wanted = [(math.log(6 / (n[t] + 1)) + 1e-9) * math.hypot(1, (k[t] - n[t] * 0.4) / math.sqrt(spread[t] + 1)) for t in n]
+    assert len(hashes) == len(set(numbers.tolist())) == len(n)
+    assert np.allclose(sorted(weights[:-1]), sorted(wanted)) and math.isclose(weights[-1], math.log(6))
+    doc, found, counts = toxicity.term_hashes([t for _, _, t in some])
+    for i, own in enumerate(terms):
+        assert sorted(own.values()) == sorted(counts[doc == i].tolist())
+    assert set(found.tolist()) == set(hashes.tolist())
+
+
+def test_votes_equal_brute_force_over_all_terms(spark, docs_of):
+    import numpy as np
+
+    rnd = random.Random(13)
+    rows = [(i, prose(rnd, "en", 12) + f" {''.join(rnd.choice('abcde') for _ in range(6))} unseen", "en", "s") for i in range(60)]
+    rows += [(60, rows[0][1], "en", "s"), (61, "", "en", "s"), (62, None, "en", "s"), (63, "zzz yyy", "en", "s"), (None, "word", "en", "s")]
+    docs = docs_of(rows).select("doc_id", "text")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, toxic int")
+    _, chosen = toxicity.examples_of(docs, labels)
+    label = {r.doc_id: r.toxic for r in chosen.collect()}
+    terms = [toxicity.terms(t or "") for _, t, _, _ in rows]
+    total, prior = len(label), sum(label.values()) / len(label)
+    n = Counter(t for i in label for t in terms[i])
+    k = Counter(t for i in label if label[i] for t in terms[i])
+    place = {t: at for at, t in enumerate(sorted(set().union(*terms)))}
+    vectors = np.zeros((len(rows), len(place)))
+    for row, own in zip(vectors, terms):
+        for t, c in own.items():
+            spread = n[t] * prior * (1 - prior) * (total - n[t]) / (total - 1)
+            weight = (math.log((total + 1) / (n[t] + 1)) + 1e-9) * math.hypot(1, (k[t] - n[t] * prior) / math.sqrt(spread + 1))
+            row[place[t]] = (1 + math.log(c)) * weight
+    vectors /= np.maximum(np.sqrt((vectors**2).sum(1, keepdims=True)), 1e-300)
+    found, _, _ = toxicity.votes_of(docs, labels)
+    got = {r.doc_id: r.vote for r in found.collect()}
+    for (i, *_), row in zip(rows, vectors):
+        cosines = sorted(((float(row @ vectors[e]), label[e]) for e in label), reverse=True)[: toxicity.NEIGHBOURS]
+        wanted = (sum(c * x for c, x in cosines) + prior * prior) / (sum(c for c, _ in cosines) + prior)
+        assert math.isclose(got[i], wanted, rel_tol=1e-4), i
+    assert len(got) == len(rows)
+
+
 def test_near_copies_are_one_example_with_the_label_of_most(spark, docs_of):
     base = " ".join(f"w{i}" for i in range(60))
     rows = [(i, f"{base} end{i}", "en", "s") for i in (1, 2, 3)]
